@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapframe.functions.expr import nulls_high
-from lapframe.operators.keys import HOT_ROWS, PART, attach_parts, split_hot_keys
+from lapframe.operators.keys import PART, attach_parts, split_hot_keys
 
 
 def _sort_key(order: Sequence[str]) -> Column:
@@ -25,15 +25,17 @@ def fill_forward(
     keys: Sequence[str],
     order: Sequence[str],
     part: Column | None = None,
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per ``output: input``, the last non-null input at or before each row of its key.
 
     ``part`` (non-decreasing in the first order column) splits hot keys: the last value of each part
     is found by a partial aggregate, carried over the parts, and used where a part has none yet.
+    ``sizes`` is a cheaper table to find hot keys in.
     """
     ordering = [nulls_high(c) for c in order]
-    split = None if part is None else split_hot_keys(df, keys, part, threshold)
+    split = None if part is None else split_hot_keys(df, keys, part, threshold, sizes)
     if split is None:
         window = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(
             Window.unboundedPreceding, 0
@@ -76,7 +78,7 @@ def previous_value(
     order: Sequence[str],
     name: str,
     part: Column | None = None,
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
     """``lag(column)`` per key, with hot keys split like in :func:`fill_forward`.
 

@@ -27,7 +27,41 @@ def _position(df: DataFrame, column: str) -> Column:
 
 
 def _bucket(position: Column, width: int) -> Column:
-    return (position - F.pmod(position, F.lit(width))) / F.lit(width)
+    return ((position - F.pmod(position, F.lit(width))) / F.lit(width)).cast("long")
+
+
+def _span_cells(
+    spans: DataFrame, lo: str, hi: str, widths: Sequence[int], outer: bool
+) -> DataFrame:
+    """Spans once per bucket they cover, at the first width that gives few buckets."""
+    first, last = _position(spans, lo), _position(spans, hi)
+    level = F.lit(len(widths) - 1)
+    for i in range(len(widths) - 2, -1, -1):
+        fits = _bucket(last, widths[i]) - _bucket(first, widths[i]) < _SPAN_BUCKETS
+        level = F.when(fits, F.lit(i)).otherwise(level)
+    leveled = spans.withColumn(_LEVEL, level)
+    covered = F.lit(None).cast("array<bigint>")
+    for i, width in enumerate(widths):
+        covered = F.when(
+            F.col(_LEVEL) == i, F.sequence(_bucket(first, width), _bucket(last, width))
+        ).otherwise(covered)
+    covered = F.when(F.col(lo) <= F.col(hi), covered)
+    return leveled.withColumn(_BUCKET, (F.explode_outer if outer else F.explode)(covered))
+
+
+def _point_cells(points: DataFrame, at: str, widths: Sequence[int]) -> DataFrame:
+    """Points once per width."""
+    where = _position(points, at)
+    marked = points.filter(F.col(at).isNotNull())
+    if len(widths) == 1:
+        return marked.withColumns({_LEVEL: F.lit(0), _BUCKET: _bucket(where, widths[0])})
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias(_LEVEL), _bucket(where, width).alias(_BUCKET))
+            for i, width in enumerate(widths)
+        ]
+    )
+    return marked.select(*points.columns, F.inline(cells))
 
 
 def interval_join(
@@ -47,49 +81,38 @@ def interval_join(
     column) are tried in order; the last one takes every longer span, so the result is complete for
     any width and only the cost depends on it.
     """
-    wide = spans.filter(F.col(lo) <= F.col(hi))
-    first, last = _position(spans, lo), _position(spans, hi)
-    level = F.lit(len(widths) - 1)
-    for i in range(len(widths) - 2, -1, -1):
-        fits = _bucket(last, widths[i]) - _bucket(first, widths[i]) < _SPAN_BUCKETS
-        level = F.when(fits, F.lit(i)).otherwise(level)
-    wide = wide.withColumn(_LEVEL, level)
-    covered = None
-    for i, width in enumerate(widths):
-        part = F.sequence(
-            _bucket(first, width).cast("long"), _bucket(last, width).cast("long")
-        )
-        covered = part if i == 0 else F.when(F.col(_LEVEL) == i, part).otherwise(covered)
-    wide = wide.withColumn(_BUCKET, F.explode(covered))
-    where = _position(points, at)
-    marked = points.filter(F.col(at).isNotNull())
-    if len(widths) == 1:
-        marked = marked.withColumn(_LEVEL, F.lit(0)).withColumn(
-            _BUCKET, _bucket(where, widths[0]).cast("long")
-        )
-    else:
-        marked = marked.withColumn(
-            "__cell",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(i).alias("l"), _bucket(where, width).cast("long").alias("b")
-                        )
-                        for i, width in enumerate(widths)
-                    ]
-                )
-            ),
-        ).select(
-            *points.columns, F.col("__cell.l").alias(_LEVEL), F.col("__cell.b").alias(_BUCKET)
-        )
     return (
-        marked.join(wide, [*keys, _LEVEL, _BUCKET])
+        _point_cells(points, at, widths)
+        .join(_span_cells(spans, lo, hi, widths, outer=False), [*keys, _LEVEL, _BUCKET])
         .filter(F.col(at).between(F.col(lo), F.col(hi)))
         .drop(_LEVEL, _BUCKET)
     )
 
 
+def interval_matches(
+    spans: DataFrame,
+    points: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    lo: str,
+    hi: str,
+    widths: Sequence[int] = (600,),
+) -> DataFrame:
+    """Pairs of :func:`interval_join` for grouping by span, with every span kept.
+
+    A span also yields a row without a point for each of its buckets that has none. Aggregates that
+    skip NULLs are not changed by those, and a group-by of the span's columns thus gives the result of
+    a left join followed by a group-by.
+    """
+    cells = _span_cells(spans, lo, hi, widths, outer=True)
+    names = [*keys, _LEVEL, _BUCKET]
+    right = _point_cells(points, at, widths).withColumnsRenamed({k: f"__p_{k}" for k in names})
+    on = F.col(at).between(F.col(lo), F.col(hi))
+    for k in names:
+        on = (F.col(k) == F.col(f"__p_{k}")) & on
+    return cells.join(right, on, "left").drop(*[f"__p_{k}" for k in names], _LEVEL, _BUCKET)
+
+
 def nearest_event_in_interval(
     events: DataFrame,
     spans: DataFrame,
@@ -122,9 +145,10 @@ def nearest_event_in_interval(
     )
 
 
-# Nodes of the time tree are 4**level seconds long; level -1 holds points exactly on a second.
-_SHIFT = 2
-_TOP = 10
+# Nodes of the time tree are 2**level seconds long; level -1 holds points exactly on a second.
+_TOP = 22
+# A tree of at most this many rows (about 100 bytes each) is broadcast.
+TREE_ROWS = 500_000
 
 
 def range_aggregate(
@@ -135,6 +159,7 @@ def range_aggregate(
     lo: str,
     hi: str,
     measures: Mapping[str, tuple[str, str]],
+    broadcast_rows: int = TREE_ROWS,
 ) -> DataFrame:
     """Aggregate the points with ``lo <= at <= hi`` for every distinct span (a left join).
 
@@ -142,64 +167,52 @@ def range_aggregate(
     Spans without points keep NULLs (0 for counts). ``lo`` and ``hi`` must be whole seconds.
 
     Listing the matching pairs would grow with spans times points per key. Instead points are summed
-    up once per second and then per 4, 16, 64 ... seconds, and a span is cut into the few such
-    nodes that tile it, about 3 per level. The tree's size follows the length of the timeline, not the
-    number of points, and the join has one row per node on the tree side.
+    up per second and then per 2, 4, 8 ... seconds, and a span is cut into the few such nodes
+    that tile it, about one per doubling of its length. The tree's size follows the length of the
+    timeline, not the number of points, and the join has one row per node on the tree side. A
+    tree counted to be small is broadcast, so that a span's nodes are found and added up where it
+    is; a larger one is joined by shuffling on the node.
     """
-    functions = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-    leaf_functions = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+    leaf = {**merge, "count": F.count}
     node = [*keys, _LEVEL, _BUCKET]
 
-    second = F.unix_seconds(F.col(at))
     exact = F.pmod(F.unix_micros(F.col(at)), F.lit(1_000_000)) == 0
+    inputs = sorted({column for column, _ in measures.values()})
     leaves = (
         points.filter(F.col(at).isNotNull())
-        .select(*keys, second.alias(_BUCKET), exact.alias("__exact"),
-                *sorted({column for column, _ in measures.values()}))
-        .groupBy(*keys, _BUCKET, "__exact")
-        .agg(*[leaf_functions[how](column).alias(out) for out, (column, how) in measures.items()])
-    )
-    levels = F.explode(
-        F.when(F.col("__exact"), F.sequence(F.lit(-1), F.lit(_TOP))).otherwise(
-            F.sequence(F.lit(0), F.lit(_TOP))
-        )
+        .select(*keys, F.unix_seconds(F.col(at)).alias("__second"), exact.alias("__exact"), *inputs)
+        .groupBy(*keys, "__second", "__exact")
+        .agg(*[leaf[how](column).alias(out) for out, (column, how) in measures.items()])
     )
+    lowest = F.when(F.col("__exact"), -1).otherwise(0)
     tree = (
-        leaves.withColumn(_LEVEL, levels)
-        .withColumn(
-            _BUCKET,
-            F.when(F.col(_LEVEL) == -1, F.col(_BUCKET)).otherwise(
-                F.call_function(
-                    "shiftright", F.col(_BUCKET), F.greatest(F.col(_LEVEL), F.lit(0)) * _SHIFT
-                )
-            ),
-        )
+        leaves.withColumn(_LEVEL, F.explode(F.sequence(lowest, F.lit(_TOP))))
+        .withColumn(_BUCKET, _down(F.col("__second"), F.col(_LEVEL)))
         .groupBy(*node)
-        .agg(*[functions[how](out).alias(out) for out, (_, how) in measures.items()])
+        .agg(*[merge[how](out).alias(out) for out, (_, how) in measures.items()])
     )
+    if tree.count() <= broadcast_rows:
+        tree = F.broadcast(tree)
 
-    columns = spans.columns
-    empty = {
-        out: F.lit(None).cast(tree.schema[out].dataType).alias(out) for out in measures
-    }
-    bounds = spans.filter(F.col(lo) <= F.col(hi)).withColumns(
-        {"__a": _whole_second(lo), "__b": _whole_second(hi)}
-    )
+    a, b = F.col("__a"), F.col("__b")
+    # no node is longer than the span; a span that cannot hold any point gets no level at all
+    longest = F.least(F.floor(F.log2(F.greatest(b - a, F.lit(1)))).cast("int"), F.lit(_TOP))
     pieces = (
-        bounds.withColumn(_LEVEL, F.explode(F.sequence(F.lit(-1), F.lit(_TOP))))
-        .withColumn(_BUCKET, F.explode(_tiles(F.col("__a"), F.col("__b"), F.col(_LEVEL))))
+        spans.withColumns({"__a": _whole_second(lo), "__b": _whole_second(hi)})
+        .withColumn(
+            _LEVEL, F.explode_outer(F.when(a <= b, F.sequence(F.lit(-1), longest)))
+        )
+        .withColumn(_BUCKET, F.explode_outer(_tiles(a, b, F.col(_LEVEL))))
     )
-    hits = pieces.join(tree, node).select(*columns, *measures)
+    totals = {
+        out: F.coalesce(F.sum(out), F.lit(0)) if how == "count" else merge[how](out)
+        for out, (_, how) in measures.items()
+    }
     return (
-        hits.unionByName(spans.select(*columns, *empty.values()))
-        .groupBy(*columns)
-        .agg(
-            *[
-                (F.coalesce(functions[how](out), F.lit(0)) if how == "count" else functions[how](out))
-                .alias(out)
-                for out, (_, how) in measures.items()
-            ]
-        )
+        pieces.join(tree, node, "left")
+        .groupBy(*spans.columns)
+        .agg(*[total.alias(out) for out, total in totals.items()])
     )
 
 
@@ -207,30 +220,28 @@ def _whole_second(column: str) -> Column:
     micros = F.unix_micros(F.col(column))
     return F.when(
         F.pmod(micros, F.lit(1_000_000)) == 0, F.unix_seconds(F.col(column))
-    ).otherwise(F.raise_error(F.lit(f"{column} must be cut to whole seconds")).cast("long"))
+    ).when(micros.isNotNull(), F.raise_error(F.lit(f"{column} must be whole seconds")).cast("long"))
 
 
-def _tiles(a: Column, b: Column, level: Column) -> Column:
-    """Node numbers at ``level`` in the tiling of the seconds [a, b) plus the instant b."""
-
-    def down(x: Column, lv: Column) -> Column:
-        return F.call_function("shiftright", x, lv * _SHIFT)
+def _down(second: Column, level: Column) -> Column:
+    """Number of the node of ``level`` that holds a second."""
+    return F.call_function("shiftright", second, F.greatest(level, F.lit(0)))
 
-    def up(x: Column, lv: Column) -> Column:
-        step = F.call_function("shiftleft", F.lit(1).cast("long"), lv * _SHIFT)
-        return F.call_function("shiftright", x + step - 1, lv * _SHIFT)
 
-    def run(start: Column, stop: Column) -> Column:
-        return F.when(start < stop, F.sequence(start, stop - 1)).otherwise(
-            F.array().cast("array<bigint>")
-        )
+def _tiles(a: Column, b: Column, level: Column) -> Column:
+    """Node numbers at ``level`` in the tiling of the seconds [a, b) plus the instant b.
 
-    here = F.greatest(level, F.lit(0))
-    start, stop = up(a, here), down(b, here)
-    parent_start, parent_stop = up(a, here + 1), down(b, here + 1)
-    all_here = (here == _TOP) | (parent_start >= parent_stop)
-    return F.when(level == -1, F.array(b)).otherwise(
-        F.when(start >= stop, F.array().cast("array<bigint>"))
-        .when(all_here, run(start, stop))
-        .otherwise(F.concat(run(start, parent_start * 4), run(parent_stop * 4, stop)))
+    Whole nodes of a level run from ``start`` to ``stop``; all but an odd one at either end are
+    covered by nodes of the next level.
+    """
+    step = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(level, F.lit(0)))
+    start, stop = _down(a + step - 1, level), _down(b, level)
+    none = F.lit(None).cast("long")
+    left = F.when(F.pmod(start, F.lit(2)) == 1, start).otherwise(none)
+    right = F.when(F.pmod(stop, F.lit(2)) == 1, stop - 1).otherwise(none)
+    return (
+        F.when(level == -1, F.array(b))
+        .when(start >= stop, F.array().cast("array<bigint>"))
+        .when(level == _TOP, F.sequence(start, stop - 1))
+        .otherwise(F.array_compact(F.array(left, right)))
     )

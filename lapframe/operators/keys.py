@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group below this size is left to one task; window operators spill, so it need not fit memory.
+# The session setting of that name overrides it.
 HOT_ROWS = 2_000_000
+HOT_ROWS_CONF = "spark.lapframe.hotKeyRows"
 # No more hot keys than this are ever brought to the driver or broadcast.
 MAX_HOT_KEYS = 1_000
 
@@ -26,16 +28,22 @@ def split_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     part: Column,
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame | None:
     """Add ``__part``: ``part`` on rows of keys with at least ``threshold`` rows, else NULL.
 
     Returns None when no key is hot, so that callers keep the plain one-window plan. Counting is
-    a partial hash aggregate over the key columns alone. At most ``MAX_HOT_KEYS`` keys are
+    a partial hash aggregate over the key columns alone, taken from ``sizes`` when given (a table with
+    at least as many rows per key that is cheaper to scan than a derived ``df``). At most ``MAX_HOT_KEYS`` keys are
     collected; with more of them every key is split, which is exact as well.
     """
+    spark = df.sparkSession
+    if threshold is None:
+        threshold = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= threshold)
+        (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") >= threshold)
         .select(*keys)
     )
     found = hot.limit(MAX_HOT_KEYS + 1).collect()
@@ -43,7 +51,6 @@ def split_hot_keys(
         return None
     if len(found) > MAX_HOT_KEYS:
         return df.withColumn(PART, part)
-    spark = df.sparkSession
     small = spark.createDataFrame(found, hot.schema).toDF(*[f"__k_{k}" for k in keys])
     small = F.broadcast(small.withColumn(HOT, F.lit(True)))  # <= MAX_HOT_KEYS rows
     return (

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from lapframe.functions.expr import nulls_high
 from lapframe.operators.keys import (
-    HOT_ROWS,
     PART,
     attach_parts,
     same_keys,
@@ -48,7 +47,7 @@ def numbered(
     order: Sequence[str],
     name: str,
     part: Column | None = None,
-    threshold: int = HOT_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
     """``row_number()`` per key, ascending, that also works when one key is very large.
 
@@ -76,17 +75,25 @@ def numbered(
     )
 
 
-def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """``dense_rank()`` of ``value`` ascending per key.
+def dense_levels(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """``dense_rank()`` of every distinct ``value`` per key.
 
-    The rank depends only on the distinct values of a key, so those are ranked and joined back: the
-    window sees one row per distinct value however many rows share it.
+    The rank depends only on the distinct values of a key: the window sees one row per distinct value
+    however many rows share it.
     """
-    levels = (
+    return (
         df.select(*keys, value).distinct()
         .withColumn(name, F.dense_rank().over(Window.partitionBy(*keys).orderBy(nulls_high(value))))
     )
-    names = [*keys, value]
-    renamed = levels.withColumnsRenamed({c: f"__d_{c}" for c in names})
-    on = same_keys(df, renamed, [(c, f"__d_{c}") for c in names])
-    return df.join(renamed, on).drop(*[f"__d_{c}" for c in names])
+
+
+def join_levels(df: DataFrame, levels: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Attach the rank of :func:`dense_levels` to rows with the same ``columns``, NULLs included."""
+    renamed = levels.withColumnsRenamed({c: f"__d_{c}" for c in columns})
+    on = same_keys(df, renamed, [(c, f"__d_{c}") for c in columns])
+    return df.join(renamed, on).drop(*[f"__d_{c}" for c in columns])
+
+
+def dense_rank_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """``dense_rank()`` of ``value`` ascending per key."""
+    return join_levels(df, dense_levels(df, keys, value, name), [*keys, value])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapframe.functions import numeric_gap
 from lapframe.operators import (
-    interval_join,
+    interval_matches,
     latest_per_key,
     nearest_event_in_interval,
     range_aggregate,
@@ -97,15 +97,13 @@ STINT = [*K2, "stint_number", "compound", "lap_start", "lap_end"]
 def stint_spans(stints: DataFrame, laps: DataFrame, width: int = 16) -> DataFrame:
     """Start of the first and of the last lap of each stint.
 
-    A left join followed by a group-by: the matches and the bare stints are grouped together, so
-    stints without laps stay without joining back.
+    Stints without laps are kept. ``width`` is the number of laps per bucket.
     """
-    base = stints.select(*STINT)
     starts = laps.select(*K2, "lap_number", "date_start")
-    matches = interval_join(starts, base, K2, "lap_number", "lap_start", "lap_end", [width])
-    bare = base.withColumn("date_start", F.lit(None).cast("timestamp"))
     return (
-        matches.select(*STINT, "date_start").unionByName(bare)
+        interval_matches(
+            stints.select(*STINT), starts, K2, "lap_number", "lap_start", "lap_end", [width]
+        )
         .groupBy(*STINT)
         .agg(F.min("date_start").alias("stint_start_time"), F.max("date_start").alias("stint_end_time"))
         .select(

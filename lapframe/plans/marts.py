@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapframe.functions import bracket_label, points_for, session_label
-from lapframe.operators import dense_rank_by, fill_forward, first_per_key, interval_join
-from lapframe.operators.keys import HOT_ROWS
+from lapframe.operators import (
+    dense_levels,
+    fill_forward,
+    first_per_key,
+    interval_matches,
+    join_levels,
+)
 from lapframe.plans.intermediate import K2, LAP_WIDTHS
 
 LAP = [*K2, "lap_number"]
@@ -39,10 +44,6 @@ def first_positions(position: DataFrame, tie_breakers: Sequence[str] = ("positio
     )
 
 
-def _first_by(value: str, *order: Column) -> Column:
-    return F.min_by(value, F.struct(*order))
-
-
 def lap_metrics(
     laps: DataFrame,
     first_pos: DataFrame,
@@ -52,51 +53,58 @@ def lap_metrics(
 ) -> DataFrame:
     """Per lap: first recorded position, extreme gaps, positions nearest to its start and end.
 
-    Gaps (compared as text) and positions are reduced to one row per lap before they meet the laps, so
-    the joins do not multiply. Nearest positions are partial ``min_by`` aggregates of the pairs,
-    in the order the ranks of ``lap_positions`` use (distance, then date, then position).
+    Gap readings (compared as text) and positions are matched to laps in one interval join and
+    reduced to one row per lap by partial aggregates. The nearest position is the least by the order
+    of the ranks in ``lap_positions``: distance, then date, then position. Laps that share a number
+    share their nearest positions.
     """
     columns = [
         "lap_number", *K2, "date_start", "date_end", "is_pit_out_lap", "duration_sector_1",
         "duration_sector_2", "duration_sector_3",
     ]
-    distinct_laps = laps.select(*columns).distinct()
-    bounds = [*K2, "date_start", "date_end"]
-
-    # gaps depend on a lap's bounds, positions on its number
-    second = intervals.select(
-        *K2, F.date_trunc("second", "date").alias("__second"), "gap_to_leader", "gap_to_next"
+    no_text = F.lit(None).cast("string")
+    points = position.select(
+        *K2, F.col("date").alias("at"), F.struct("position").alias("here"),
+        no_text.alias("gap_to_leader"), no_text.alias("gap_to_next"),
+    ).unionByName(
+        intervals.select(
+            *K2, F.date_trunc("second", "date").alias("at"),
+            F.lit(None).cast("struct<position:int>").alias("here"), "gap_to_leader", "gap_to_next",
+        )
     )
-    gaps = (
-        interval_join(
-            second, laps.select(*bounds).distinct(), K2, "__second", "date_start", "date_end", widths
+
+    def nearest(bound: str) -> Column:
+        distance = F.abs(F.unix_seconds("at") - F.unix_seconds(bound))
+        place = F.col("here.position")
+        return F.min(
+            F.when(
+                F.col("here").isNotNull(),
+                F.struct(distance.alias("d"), F.col("at"), place.isNull().alias("n"),
+                         place.alias("position")),
+            )
         )
-        .groupBy(*bounds)
+
+    per_lap = (
+        interval_matches(laps.select(*columns), points, K2, "at", "date_start", "date_end", widths)
+        .groupBy(*columns)
         .agg(
             F.min("gap_to_leader").alias("min_gap_to_leader"),
             F.max("gap_to_leader").alias("max_gap_to_leader"),
             F.min("gap_to_next").alias("min_gap_to_next"),
             F.max("gap_to_next").alias("max_gap_to_next"),
+            nearest("date_start").alias("__start"),
+            nearest("date_end").alias("__end"),
         )
     )
-    to_start = F.abs(F.unix_seconds("date") - F.unix_seconds("date_start"))
-    to_end = F.abs(F.unix_seconds("date") - F.unix_seconds("date_end"))
-    ties = (F.col("date"), F.col("position").isNull(), F.col("position"))
-    nearest = (
-        interval_join(
-            position, laps.select(*LAP, "date_start", "date_end"), K2, "date", "date_start",
-            "date_end", widths,
-        )
-        .groupBy(*LAP)
-        .agg(
-            _first_by("position", to_start, *ties).alias("start_position"),
-            _first_by("position", to_end, *ties).alias("end_position"),
-        )
-    )
+    same_number = Window.partitionBy(*LAP)
+
+    def shared(name: str) -> Column:
+        known = F.col("lap_number").isNotNull()
+        return F.when(known, F.min(name).over(same_number)["position"])
+
     return (
-        distinct_laps.join(first_pos.select(*K2, "first_position"), K2, "left")
-        .join(gaps, bounds, "left")
-        .join(nearest, LAP, "left")
+        per_lap.withColumns({"start_position": shared("__start"), "end_position": shared("__end")})
+        .join(first_pos.select(*K2, "first_position"), K2, "left")
         .select(
             *columns, "first_position", "min_gap_to_leader", "max_gap_to_leader",
             "min_gap_to_next", "max_gap_to_next", "start_position", "end_position",
@@ -105,12 +113,16 @@ def lap_metrics(
 
 
 def historical_race_analysis(
-    metrics: DataFrame, laps_per_part: int = 4096, threshold: int = HOT_ROWS
+    metrics: DataFrame,
+    laps_per_part: int = 4096,
+    threshold: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Lap metrics with start and end positions filled from earlier laps.
 
     Lap 1 takes the first recorded position; others their own position, else the last known one,
-    else the first recorded one.
+    else the first recorded one. ``sizes`` may name the laps, to count large keys without building the
+    metrics twice.
     """
     part = F.floor(F.col("lap_number") / F.lit(laps_per_part))
     filled = fill_forward(
@@ -120,6 +132,7 @@ def historical_race_analysis(
         ["lap_number", "date_start"],
         part,
         threshold,
+        sizes,
     )
     first = F.col("first_position")
 
@@ -140,16 +153,21 @@ def leaderboard(
     session_names: DataFrame,
     ordered: bool = False,
 ) -> DataFrame:
-    """Final standings with gaps, best lap, stops and points; ``ordered`` adds the final sort."""
-    ranked = dense_rank_by(
-        final_positions.select(*K2, "position"), ["session_key"], "position", "rank"
-    )
+    """Final standings with gaps, best lap, stops and points; ``ordered`` adds the final sort.
+
+    All inputs that are keyed by session and driver meet first and share that partitioning.
+    """
+    places = final_positions.select(*K2, "position")
+    ranks = dense_levels(places, ["session_key"], "position", "rank")
     who = drivers.select(*K2, "broadcast_name", "team_name", "team_colour")
-    out = (
-        ranked.join(who, K2)
+    joined = (
+        places.join(who, K2)
         .join(final_intervals, K2, "left")
         .join(best_laps, K2, "left")
         .join(pit_stops, K2, "left")
+    )
+    out = (
+        join_levels(joined, ranks, ["session_key", "position"])
         .join(session_names, "session_key")
         .select(
             "session_key",

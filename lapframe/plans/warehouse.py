@@ -126,7 +126,7 @@ class Warehouse:
 
     @cached_property
     def historical_race_analysis(self) -> DataFrame:
-        return marts.historical_race_analysis(self.lap_metrics)
+        return marts.historical_race_analysis(self.lap_metrics, sizes=self.stg_laps)
 
     @cached_property
     def leaderboard(self) -> DataFrame:
