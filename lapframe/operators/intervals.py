@@ -12,8 +12,9 @@ from lapframe.functions.expr import nulls_high, seconds_between
 
 _BUCKET = "__bucket"
 _LEVEL = "__level"
+_CELL = "__cell"
 # A span uses the first bucket width at which it covers no more buckets than this.
-_SPAN_BUCKETS = 64
+_SPAN_BUCKETS = 8
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -46,7 +47,8 @@ def _span_cells(
             F.col(_LEVEL) == i, F.sequence(_bucket(first, width), _bucket(last, width))
         ).otherwise(covered)
     covered = F.when(F.col(lo) <= F.col(hi), covered)
-    return leveled.withColumn(_BUCKET, (F.explode_outer if outer else F.explode)(covered))
+    generate = F.posexplode_outer if outer else F.posexplode
+    return leveled.select("*", generate(covered).alias(_CELL, _BUCKET))
 
 
 def _point_cells(points: DataFrame, at: str, widths: Sequence[int]) -> DataFrame:
@@ -85,7 +87,7 @@ def interval_join(
         _point_cells(points, at, widths)
         .join(_span_cells(spans, lo, hi, widths, outer=False), [*keys, _LEVEL, _BUCKET])
         .filter(F.col(at).between(F.col(lo), F.col(hi)))
-        .drop(_LEVEL, _BUCKET)
+        .drop(_LEVEL, _BUCKET, _CELL)
     )
 
 
@@ -100,9 +102,9 @@ def interval_matches(
 ) -> DataFrame:
     """Pairs of :func:`interval_join` for grouping by span, with every span kept.
 
-    A span also yields a row without a point for each of its buckets that has none. Aggregates that
-    skip NULLs are not changed by those, and a group-by of the span's columns thus gives the result of
-    a left join followed by a group-by.
+    A span also yields one row without a point if its first bucket has no match. Aggregates that skip
+    NULLs are not changed by it, and a group-by of the span's columns thus gives the result of a left
+    join followed by a group-by.
     """
     cells = _span_cells(spans, lo, hi, widths, outer=True)
     names = [*keys, _LEVEL, _BUCKET]
@@ -110,7 +112,11 @@ def interval_matches(
     on = F.col(at).between(F.col(lo), F.col(hi))
     for k in names:
         on = (F.col(k) == F.col(f"__p_{k}")) & on
-    return cells.join(right, on, "left").drop(*[f"__p_{k}" for k in names], _LEVEL, _BUCKET)
+    return (
+        cells.join(right, on, "left")
+        .filter(F.col(at).isNotNull() | (F.coalesce(_CELL, F.lit(0)) == 0))
+        .drop(*[f"__p_{k}" for k in names], _LEVEL, _BUCKET, _CELL)
+    )
 
 
 def nearest_event_in_interval(
@@ -147,8 +153,8 @@ def nearest_event_in_interval(
 
 # Nodes of the time tree are 2**level seconds long; level -1 holds points exactly on a second.
 _TOP = 22
-# A tree of at most this many rows (about 100 bytes each) is broadcast.
-TREE_ROWS = 500_000
+# A tree of at most this many rows (some 150 bytes each) is broadcast.
+TREE_ROWS = 1_000_000
 
 
 def range_aggregate(

@@ -16,8 +16,8 @@ from lapframe.operators import (
 )
 
 K2 = ["session_key", "driver_number"]
-# Bucket widths in seconds for joining events to laps: one lap spans a few of the first kind.
-LAP_WIDTHS = (120, 7200)
+# Bucket widths in seconds for joining events to laps: a usual lap takes the first one.
+LAP_WIDTHS = (60, 600, 6000)
 
 
 def best_laps(laps: DataFrame) -> DataFrame:
