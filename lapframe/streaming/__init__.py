@@ -11,4 +11,8 @@ from lapframe.streaming.records import (  # noqa: F401
     route_by_fields,
 )
 from lapframe.streaming.sink import start_sink, write_batches  # noqa: F401
-from lapframe.streaming.throttle import throttle_batch, throttle_per_second  # noqa: F401
+from lapframe.streaming.throttle import (  # noqa: F401
+    throttle_batch,
+    throttle_per_second,
+    write_throttled,
+)

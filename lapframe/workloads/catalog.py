@@ -320,6 +320,16 @@ def stream_dedup(p: Projection) -> DataFrame:
 
 @query
 def stream_throttle(p: Projection) -> DataFrame:
+    ev = _event_stream(p).select("event_id", "driver_number", F.col("ts").alias("date"))
+    out, state = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-state")
+    mark = scratch_dir(p.spark, "throttle-checkpoint")
+    streaming.write_throttled(ev, out, state, mark, tie_breaker="event_id").awaitTermination()
+    return p.spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").select(*ev.columns)
+
+
+@query
+def stream_throttle_state(p: Projection) -> DataFrame:
+    """The same through keyed state."""
     ev = _event_stream(p).select("event_id", "driver_number", F.col("ts").alias("date"))
     passed = streaming.throttle_per_second(ev, tie_breaker="event_id")
     out, mark = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-checkpoint")

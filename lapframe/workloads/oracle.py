@@ -496,6 +496,7 @@ SELECT event_id, driver_number, ts AS date FROM ev0
 QUALIFY date_trunc('second', ts) IS DISTINCT FROM
         lag(date_trunc('second', ts)) OVER (PARTITION BY driver_number ORDER BY ts, event_id)"""
 CTE["throttle_batch"] = CTE["stream_throttle"]
+CTE["stream_throttle_state"] = CTE["stream_throttle"]
 CTE["stream_counts"] = """
 SELECT event_type AS kind, driver_number, count(*) AS messages FROM ev0 GROUP BY 1, 2"""
 CTE["stream_sink"] = "SELECT * FROM payload_car"
