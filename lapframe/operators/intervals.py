@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapframe.functions.expr import nulls_high, seconds_between
+from lapframe.functions.expr import seconds_between
+from lapframe.operators.ranking import numbered
 
 _BUCKET = "__bucket"
 _LEVEL = "__level"
@@ -129,11 +130,13 @@ def nearest_event_in_interval(
     hi: str = "date_end",
     tie_breakers: Sequence[str] = (),
     widths: Sequence[int] = (600,),
+    threshold: int | None = None,
 ) -> DataFrame:
     """Events inside each span with their distance and rank from its start and from its end.
 
     Adds ``start_time_diff``, ``end_time_diff`` (whole seconds) and ``start_position_rank``,
-    ``end_position_rank`` per (keys, span_key). Both ranks share one exchange.
+    ``end_position_rank`` per (keys, span_key). Both ranks share one exchange; groups of large keys are numbered by parts of
+    the distance.
     """
     pairs = interval_join(events, spans, keys, at, lo, hi, widths).withColumns(
         {
@@ -141,14 +144,14 @@ def nearest_event_in_interval(
             "end_time_diff": F.abs(seconds_between(at, hi)),
         }
     )
-    group = Window.partitionBy(*keys, span_key)
-    ties = [nulls_high(c) for c in tie_breakers]
-    return pairs.withColumns(
-        {
-            "start_position_rank": F.row_number().over(group.orderBy("start_time_diff", *ties)),
-            "end_position_rank": F.row_number().over(group.orderBy("end_time_diff", *ties)),
-        }
-    )
+    for side in ("start", "end"):
+        # a span has no more events than its key, so counting events by key finds every large group
+        distance = f"{side}_time_diff"
+        pairs = numbered(
+            pairs, [*keys, span_key], [distance, *tie_breakers], f"{side}_position_rank",
+            part=F.floor(F.col(distance) / 16), threshold=threshold, sizes=events, size_keys=keys,
+        )
+    return pairs
 
 
 # Nodes of the time tree are 2**level seconds long; level -1 holds points exactly on a second.

@@ -30,17 +30,20 @@ def split_hot_keys(
     part: Column,
     threshold: int | None = None,
     sizes: DataFrame | None = None,
+    size_keys: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """Add ``__part``: ``part`` on rows of keys with at least ``threshold`` rows, else NULL.
 
     Returns None when no key is hot, so that callers keep the plain one-window plan. Counting is
     a partial hash aggregate over the key columns alone, taken from ``sizes`` when given (a table with
-    at least as many rows per key that is cheaper to scan than a derived ``df``). At most ``MAX_HOT_KEYS`` keys are
+    at least as many rows per key that is cheaper to scan than a derived ``df``), and by ``size_keys``
+    when that table only has some of the keys. At most ``MAX_HOT_KEYS`` keys are
     collected; with more of them every key is split, which is exact as well.
     """
     spark = df.sparkSession
     if threshold is None:
         threshold = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+    keys = list(size_keys or keys)
     hot = (
         (df if sizes is None else sizes).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") >= threshold)

@@ -48,15 +48,20 @@ def numbered(
     name: str,
     part: Column | None = None,
     threshold: int | None = None,
+    sizes: DataFrame | None = None,
+    size_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """``row_number()`` per key, ascending, that also works when one key is very large.
 
     ``part`` must be a non-decreasing function of the first order column, for example the time cut
     to the minute. Rows of hot keys are numbered inside (key, part) and shifted by the number of
     rows in earlier parts, so no task gets a whole hot key; other keys use one window as usual.
+    ``sizes`` and ``size_keys`` say where to count rows per key, by default in ``df``.
     """
     ordering = _order(order)
-    split = None if part is None else split_hot_keys(df, keys, part, threshold)
+    split = (
+        None if part is None else split_hot_keys(df, keys, part, threshold, sizes, size_keys)
+    )
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))
     counts = split.filter(F.col(PART).isNotNull()).groupBy(*keys, PART).agg(

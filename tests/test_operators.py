@@ -218,6 +218,23 @@ def test_nearest_event_ranks(frame):
                 "end_position_rank") == [(3, 50, 10, 2, 1), (4, 5, 55, 1, 3), (9, 50, 10, 3, 2)]
 
 
+@pytest.mark.parametrize("threshold", [1, 60, 10_000])
+def test_nearest_event_ranks_of_large_groups(spark, threshold):
+    rnd = random.Random(4)
+    events = [(rnd.choice("aab"), i, DAY * 1000 + rnd.randrange(900_000)) for i in range(200)]
+    spans = [(k, n, DAY + s, DAY + e) for k in "ab" for n, s, e in ((1, 0, 700), (2, 650, 800), (3, 5, 6))]
+    e = spark.createDataFrame(events, "k string, id int, ms bigint").withColumn("date", F.timestamp_millis("ms"))
+    s = spark.createDataFrame(spans, "k string, lap int, a bigint, b bigint").withColumns(
+        {"date_start": F.timestamp_seconds("a"), "date_end": F.timestamp_seconds("b")})
+    got = nearest_event_in_interval(e, s, ["k"], "lap", tie_breakers=["date", "id"], threshold=threshold)
+    window = Window.partitionBy("k", "lap")
+    expected = got.select(
+        "id", "lap", F.row_number().over(window.orderBy("start_time_diff", "date", "id")),
+        F.row_number().over(window.orderBy("end_time_diff", "date", "id")))
+    assert rows(got, "id", "lap", "start_position_rank", "end_position_rank") == rows(expected)
+    assert got.count() > 150
+
+
 @pytest.mark.parametrize("keys", [(), ("k",)])
 def test_burst_matches_a_window_over_everything(spark, keys):
     rnd = random.Random(2)
