@@ -13,11 +13,14 @@ def oracle():
     return open_oracle(DATA)
 
 
+CATALOG = contract.catalog.QUERIES
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(CATALOG) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, oracle, name):
     got = contract.queries()[name](spark, DATA).toPandas()
     assert differences(got, oracle.execute(contract.oracle_sql()[name]).df()) == ""
