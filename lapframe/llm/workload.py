@@ -7,18 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe
+from lapframe.llm import bpe, orc_output
 from lapframe.llm.common import read_table
+from lapframe.session import scratch_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-ids")
+    orc_output.write_token_ids(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, path)
+    return orc_output.document_index(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op10_orc_output": op10_orc_output,
 }
 
 # Statements for the queries that SQL can express.
