@@ -48,6 +48,15 @@ def forget(df: DataFrame) -> None:
         delete_path(df.sparkSession, folder)
 
 
+# Rows of one or two integers that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``small``, marked for broadcast only if it is counted to have at most ``limit`` rows."""
+    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+
+
 def text_chunks(
     batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -27,7 +27,7 @@ SAMPLE_ROWS = 8_000
 # Terms that get a weight: those whose presence differs most between the labels.
 MAX_TERMS = 512
 # Least number of standard errors between the shares of toxic and other documents with a term.
-LEAST_Z = 6.0
+LEAST_Z = 5.0
 FACTORS = 8
 STEPS = 200
 # Words whose terms are kept per Python worker; the store starts anew when it is full.

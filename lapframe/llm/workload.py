@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, orc_output, toxicity
+from lapframe.llm import bpe, neardup, orc_output, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -24,6 +24,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-ids")
     orc_output.write_token_ids(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, path)
@@ -33,6 +37,7 @@ def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_toxicity": op5_toxicity,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op10_orc_output": op10_orc_output,
 }
 
