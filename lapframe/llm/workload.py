@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, neardup, orc_output, toxicity
+from lapframe.llm import bpe, neardup, orc_output, pii, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -19,6 +19,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pii.report(docs, pii.learn(docs))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
@@ -36,6 +41,7 @@ def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_orc_output": op10_orc_output,
