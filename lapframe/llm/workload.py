@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, neardup, orc_output, pii, toxicity
+from lapframe.llm import bpe, mixing, neardup, orc_output, pii, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -19,6 +19,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+# As even as a fourfold repetition of the rarest source allows.
+MIX_TARGET = mixing.Target(entropy_share=0.95, max_repeats=4.0)
+BLOCK_TOKENS = 100_000
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.fit(read_table(spark, sf_dir, "documents"), MIX_TARGET)
+    return mixing.block_permutations(mix, BLOCK_TOKENS)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pii.report(docs, pii.learn(docs))
@@ -41,6 +51,7 @@ def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op8_minhash_dedup": op8_minhash_dedup,
