@@ -29,7 +29,7 @@ MAX_TERMS = 512
 # Least number of standard errors between the shares of toxic and other documents with a term.
 LEAST_Z = 5.0
 FACTORS = 8
-STEPS = 200
+STEPS = 600
 # Words whose terms are kept per Python worker; the store starts anew when it is full.
 CACHE_WORDS = 1 << 19
 
