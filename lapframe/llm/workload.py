@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, mixing, neardup, orc_output, pii, toxicity
+from lapframe.llm import bpe, mixing, neardup, orc_output, pii, quality, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
+    "op6_quality_rules": op6_quality_rules,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_orc_output": op10_orc_output,
 }
