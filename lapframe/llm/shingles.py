@@ -33,7 +33,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Position-independent hash of data[start:end] for ascending, disjoint spans."""
     up, down = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
@@ -64,7 +64,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
         a, b = starts[i], ends[j - 1]
-        out[i:j] = _hash_spans(data[a:b], starts[i:j] - a, ends[i:j] - a)
+        out[i:j] = hash_spans(data[a:b], starts[i:j] - a, ends[i:j] - a)
         i = j
     counts = np.diff(np.searchsorted(starts, bounds))
     return out, counts

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, mixing, neardup, orc_output, pii, quality, toxicity
+from lapframe.llm import bpe, fingerprints, mixing, neardup, orc_output, pii, quality, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -43,6 +43,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
+    "op7_fingerprints": op7_fingerprints,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_orc_output": op10_orc_output,
 }
