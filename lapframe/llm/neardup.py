@@ -6,9 +6,14 @@ the posterior probability that the pair is similar enough decides whether to go
 compared on their full shingle sets, recomputed from the whole texts.
 
 All pairs of a bucket are never listed. First every node is compared with the smallest node of each
-of its buckets, and the best candidate is verified; that joins nearly all of a group. Then only
-nodes outside their bucket's largest group so far are compared with the bucket's other groups, which
-finds every link between groups that a bucket holds.
+of its buckets, and the best candidate is verified; that joins most of a group. A bucket that still
+holds several groups is then worked off exactly. Up to ``PAIRED`` nodes are compared in pairs. In a
+larger bucket all nodes are compared with one hub: let N(x) be the shingles of x that the hub lacks.
+If N(x) and N(y) share nothing, x and y are no more alike than x and the hub, for the common part
+lies inside the hub's common part with x, and the union contains that of x and the hub. So a node that the hub
+does not link can be linked with another only if both have shingles that the hub lacks, and these
+name the next, smaller buckets. They must share so many that a prefix of each N(x), in hash order, is
+enough to meet in, and that a pair can be dropped by where in the order it first meets.
 """
 
 from __future__ import annotations
@@ -45,6 +50,8 @@ class Settings:
 
 
 DEFAULT = Settings()
+# Buckets of several groups with at most so many nodes are compared in pairs; larger ones by a hub.
+PAIRED = 32
 
 
 def least_matches(settings: Settings) -> list[tuple[int, int]]:
@@ -147,8 +154,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame
     return both.mapInArrow(run, "a bigint, b bigint, matches bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs ``a, b`` whose full shingle sets are similar enough; ``pairs`` is a stored table."""
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``a, b, text_a, text_b`` for stored pairs, and the stored texts behind it."""
     involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "neardup-involved")
     texts = stored(
         id_and_text(docs)
@@ -158,34 +165,84 @@ def _verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFram
         "neardup-texts",
     )
     forget(involved)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray] = {}  # the left text repeats; a few of its sets are kept
-        for batch in batches:
-            keep = []
-            ids = batch.column(0).to_pylist()
-            for i in range(batch.num_rows):
-                if ids[i] not in known:
-                    if len(known) >= 16:
-                        known.clear()
-                    known[ids[i]] = next(shingle_sets(batch.column(2).slice(i, 1)))
-                left, right = known[ids[i]], next(shingle_sets(batch.column(3).slice(i, 1)))
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * common >= settings.percent * (len(left) + len(right) - common))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
-
-    links = (
+    both = (
         pairs.select("a", "b")
         .join(texts.toDF("b", "text_b"), "b")
         .join(texts.toDF("a", "text_a"), "a")
         .select("a", "b", "text_a", "text_b")
-        .mapInArrow(run, "a bigint, b bigint")
     )
-    links = stored(links, "neardup-links")
+    return both, texts
+
+
+def _pairs_of_sets(batch: pa.RecordBatch, known: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two shingle sets of each row; ``known`` keeps a few of the left ones, which repeat."""
+    for i, key in enumerate(batch.column(0).to_pylist()):
+        if key not in known:
+            if len(known) >= 16:
+                known.clear()
+            known[key] = next(shingle_sets(batch.column(2).slice(i, 1)))
+        yield known[key], next(shingle_sets(batch.column(3).slice(i, 1)))
+
+
+def _alike(left: np.ndarray, right: np.ndarray, common: int, percent: int) -> bool:
+    return 100 * common >= percent * (len(left) + len(right) - common)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs ``a, b`` whose full shingle sets are similar enough, as a stored table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            keep = [
+                _alike(x, y, len(np.intersect1d(x, y, assume_unique=True)), settings.percent)
+                for x, y in _pairs_of_sets(batch, known)
+            ]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    both, texts = _with_texts(pairs, docs)
+    links = stored(both.mapInArrow(run, "a bigint, b bigint"), "neardup-links")
     forget(texts)
     return links
 
 
+def _compared_with_hubs(stars: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b, linked, common, lack, lacking`` of hub ``a`` and node ``b``; stored.
+
+    ``common`` shingles are in both, ``lack`` of b are not in a, and ``lacking`` is a prefix of these by
+    hash. A partner of b shares percent of b's shingles at least, so all but ``common`` of them
+    from here; two sets that share k of their elements meet in their prefixes without the last k - 1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            linked, common, lack, lacking = [], [], [], []
+            for hub, own in _pairs_of_sets(batch, known):
+                rest = np.setdiff1d(own, hub, assume_unique=True)
+                shared = len(own) - len(rest)
+                linked.append(_alike(hub, own, shared, settings.percent))
+                common.append(shared)
+                lack.append(len(rest))
+                wanted = -(-settings.percent * len(own) // 100) - shared
+                lacking.append(rest[: len(rest) - max(wanted, 1) + 1].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns[:2],
+                    pa.array(linked, pa.bool_()),
+                    pa.array(common, pa.int64()),
+                    pa.array(lack, pa.int64()),
+                    pa.array(lacking, pa.list_(pa.int64())),
+                ],
+                ["a", "b", "linked", "common", "lack", "lacking"],
+            )
+
+    both, texts = _with_texts(stars, docs)
+    compared = stored(both.mapInArrow(run, "a bigint, b bigint, linked boolean, common bigint, lack bigint, lacking array<bigint>"), "neardup-hubs")
+    forget(texts)
+    return compared
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """``node, root`` from ``node, parent`` with parent < node, by doubling the step until all end."""
     current = stored(parents.select("node", F.col("parent").alias("root")), "neardup-roots")
@@ -237,6 +294,42 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, root`` after further links ``a, b`` between nodes; nodes without links may be absent."""
+    edges = (
+        links.join(roots.toDF("a", "root_a"), "a", "left")
+        .join(roots.toDF("b", "root_b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        .filter("a <> b")
+    )
+    joined = components(edges)
+    known = roots.join(joined.toDF("root", "lower"), "root", "left").select("node", F.coalesce("lower", "root").alias("root"))
+    new = joined.join(roots.select("node"), "node", "left_anti")
+    return stored(known.union(new), "neardup-roots")
+
+
+def _of_several_groups(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``buckets``, with ``root``, whose keys have nodes of more than one group."""
+    grouped = buckets.join(roots, "node", "left").select(*buckets.columns, F.coalesce("root", "node").alias("root"))
+    mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    return grouped.join(mixed, "key")
+
+
+def _hubs(many: DataFrame, shared: bool) -> DataFrame:
+    """``key, hub``: the node of each bucket that meets most others over all buckets.
+
+    ``shared``: buckets whose nodes also meet in a bucket with a busier hub take that one, a few times
+    over, so that a family of near copies mostly has one hub. Any hub gives right results.
+    """
+    scored = many.join(many.groupBy("node").agg(F.sum("size").alias("score")), "node")
+    best = F.max(F.struct("score", (-F.col("node")).alias("minus")))
+    own = scored.groupBy("key").agg(best.alias("top"))
+    for _ in range(3 if shared else 0):
+        seen = many.select("key", "node").join(own, "key").groupBy("node").agg(F.max("top").alias("top"))
+        own = many.select("key", "node").join(seen, "node").groupBy("key").agg(F.max("top").alias("top"))
+    return own.select("key", (-F.col("top.minus")).alias("hub"))
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per input row.
 
@@ -278,44 +371,43 @@ def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     forget(best)
 
     # then the groups of a bucket against each other
-    grouped = stored(
-        buckets.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "neardup-grouped"
-    )
+    # nothing is known yet about a node's shingles: none is lacking, none has been passed
+    plain = buckets.select("key", "node", "n", F.col("n").alias("common"), F.col("n").alias("lack"), F.lit(0).alias("pos"))
+    level = stored(_of_several_groups(plain, roots), "neardup-level")
     forget(buckets)
-    mixed = (
-        grouped.groupBy("key", "root")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .groupBy("key")
-        .agg(F.max(F.struct("size", "root")).alias("top"), F.count(F.lit(1)).alias("groups"))
-        .filter("groups > 1")
-        .select("key", F.col("top.root").alias("main"))
-    )
-    among = stored(grouped.join(mixed, "key"), "neardup-mixed")
-    strays = among.filter("root <> main").select("key", F.col("node").alias("x"), F.col("n").alias("m"), F.col("root").alias("other"))
-    # two strays of one bucket meet twice; only the order x < node is taken then
-    crossing = (
-        among.join(strays, "key")
-        .filter(f"root <> other AND (root = main OR x < node) AND {long_enough}")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .distinct()
-    )
-    likely = stored(_likely(crossing, nodes, settings).select("a", "b"), "neardup-likely")
-    forget(grouped)
-    forget(among)
-    links = _verified(likely, docs, settings)
-    forget(likely)
-    edges = (
-        links.join(roots.toDF("a", "root_a"), "a", "left")
-        .join(roots.toDF("b", "root_b"), "b", "left")
-        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
-    )
-    joined = components(edges)
+    first = True
+    enough = f"{100 + percent} * (least(common, common_a) + least(lack - pos, lack_a - pos_a)) >= {percent} * (n + m)"
+    while not level.isEmpty():
+        sized = level.join(level.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
+        few, many = sized.filter(F.col("size") <= PAIRED), stored(sized.filter(F.col("size") > PAIRED), "neardup-many")
+        left = few.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"), *[F.col(c).alias(f"{c}_a") for c in ("common", "lack", "pos")])
+        crossing = few.join(left, "key").filter(f"a < node AND root <> other AND {long_enough} AND {enough}").select("a", F.col("node").alias("b"))
+        likely = stored(_likely(crossing.distinct(), nodes, settings).select("a", "b"), "neardup-likely")
+        links = _verified(likely, docs, settings)
+        forget(likely)
+        if many.isEmpty():
+            roots = _merged(roots, links)
+            break
+        hubs = stored(_hubs(many, shared=first), "neardup-hub-of")
+        placed_in = many.join(hubs, "key").filter("node <> hub")
+        # at the first level buckets with one hub go together; later each bucket stays apart and shrinks
+        scope = F.lit(0).cast("bigint") if first else F.col("key")
+        members = stored(placed_in.select(scope.alias("scope"), F.col("hub").alias("a"), F.col("node").alias("b"), "n").distinct(), "neardup-members")
+        compared = _compared_with_hubs(stored(members.select("a", "b").distinct(), "neardup-stars"), docs, settings)
+        links = links.union(compared.filter("linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        roots = _merged(roots, links)
+        lacking = compared.select("a", "b", "common", "lack", F.posexplode("lacking").alias("pos", "shingle"))
+        finer = members.join(lacking, ["a", "b"]).select(
+            F.xxhash64("scope", "a", "shingle").alias("key"), F.col("b").alias("node"), "n", "common", "lack", "pos"
+        )
+        following = stored(_of_several_groups(finer, roots), "neardup-level")
+        for table in (level, many, hubs, members, compared):
+            forget(table)
+        level, first = following, False
     named = (
         nodes.select("set_a", "set_b", "node")
         .join(roots, "node", "left")
-        .select("set_a", "set_b", F.coalesce("root", "node").alias("root"))
-        .join(joined.toDF("root", "final"), "root", "left")
-        .select("set_a", "set_b", F.coalesce("final", "root").alias("component_id"))
+        .select("set_a", "set_b", F.coalesce("root", "node").alias("component_id"))
     )
     placed = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))

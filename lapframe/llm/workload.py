@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapframe.llm import bpe, fingerprints, mixing, neardup, orc_output, pii, quality, toxicity
+from lapframe.llm import bpe, fingerprints, lm, mixing, neardup, orc_output, pii, quality, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -51,6 +51,10 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents"), RANKS)
+
+
 def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-ids")
     orc_output.write_token_ids(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER, path)
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_fingerprints": op7_fingerprints,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_orc_output": op10_orc_output,
 }
 

@@ -122,6 +122,23 @@ def test_chains_copies_and_odd_rows(spark, frame):
     assert sorted(x for x in got if x is not None) == sorted(want) and got.count(None) == 2
 
 
+@pytest.mark.parametrize("paired", [0, 3, 32])
+def test_a_family_of_copies_of_copies(frame, monkeypatch, paired):
+    """Edits of edits of one text; hubs alone (0), mostly hubs, and pairs give the same groups."""
+    monkeypatch.setattr(neardup, "PAIRED", paired)
+    rng = random.Random(21)
+    texts = [[f"w{i}" for i in range(100)], [f"w{i}" if i < 60 else f"u{i}" for i in range(100)]]
+    for i in range(170):
+        source = rng.choice(texts[:2]) if i % 2 else rng.choice(texts)
+        words = list(source)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            words[rng.randrange(100)] = f"x{rng.randrange(40)}"
+        texts.append(words)
+    rows = [(i * 3, " ".join(w)) for i, w in enumerate(texts)]
+    rng.shuffle(rows)
+    check(frame(rows, "doc_id bigint, text string"), rows)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(1001, 1100).select(F.lit(1000).cast("bigint").alias("a"), F.col("id").alias("b"))
