@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapframe.llm import bpe, fingerprints, lm, mixing, neardup, orc_output, pii, quality, toxicity
+from lapframe.llm import bpe, fingerprints, licenses, lm, mixing, neardup, orc_output, pii, quality, toxicity
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -19,6 +20,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS)
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """``doc_id, path, text``: documents as files below a folder per source, a hundred to a folder."""
+    place = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100) % 10, F.col("doc_id"))
+    return docs.select("doc_id", place.alias("path"), "text")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(as_files(read_table(spark, sf_dir, "documents")))
+    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("bigint"))
+
+
 # As even as a fourfold repetition of the rarest source allows.
 MIX_TARGET = mixing.Target(entropy_share=0.95, max_repeats=4.0)
 BLOCK_TOKENS = 100_000
@@ -63,6 +75,7 @@ def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_license_scan": op2_license_scan,
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_toxicity": op5_toxicity,
