@@ -32,8 +32,10 @@ def split_hot_keys(
     sizes: DataFrame | None = None,
     size_keys: Sequence[str] | None = None,
 ) -> DataFrame | None:
-    """Add ``__part``: ``part`` on rows of keys with at least ``threshold`` rows, else NULL.
+    """Add ``__part`` on rows of keys with at least ``threshold`` rows, else NULL.
 
+    ``__part`` is the pair (``part`` is NULL, ``part``), so rows whose order value is NULL form the last
+    part of their key, as NULL sorts as the greatest value, and take part in what is carried over.
     Returns None when no key is hot, so that callers keep the plain one-window plan. Counting is
     a partial hash aggregate over the key columns alone, taken from ``sizes`` when given (a table with
     at least as many rows per key that is cheaper to scan than a derived ``df``), and by ``size_keys``
@@ -52,13 +54,14 @@ def split_hot_keys(
     found = hot.limit(MAX_HOT_KEYS + 1).collect()
     if not found:
         return None
+    pair = F.struct(part.isNull().alias("late"), part.alias("at"))
     if len(found) > MAX_HOT_KEYS:
-        return df.withColumn(PART, part)
+        return df.withColumn(PART, pair)
     small = spark.createDataFrame(found, hot.schema).toDF(*[f"__k_{k}" for k in keys])
     small = F.broadcast(small.withColumn(HOT, F.lit(True)))  # <= MAX_HOT_KEYS rows
     return (
         df.join(small, same_keys(df, small, [(k, f"__k_{k}") for k in keys]), "left")
-        .withColumn(PART, F.when(F.col(HOT), part))
+        .withColumn(PART, F.when(F.col(HOT), pair))
         .select(*df.columns, PART)
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ def stage_and_publish(
     ``mode``: ``partitions`` replaces the partitions present in the batch, ``overwrite`` the whole
     table, ``append`` adds. The staging folder sits next to the table and is always removed.
     """
-    staging = f"{path.rstrip('/')}__staging"
+    staging = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"  # one per run
     try:
         write_table(df, staging, partition_by, sort_by)
         staged = spark.read.schema(df.schema).parquet(staging)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapframe.functions.expr import nulls_high
 from lapframe.session import delete_path, path_exists
 from lapframe.sinks.layout import write_table
+from lapframe.streaming.dedup import touched_partitions
 
 _STAMPS = ("created_at", "updated_at")
 
@@ -25,8 +28,9 @@ def merge_upsert(
 ) -> DataFrame:
     """The target after ``MERGE`` of the source on ``keys``.
 
-    Matched rows take every non-key column from the source except ``created_at`` and get a new
-    ``updated_at``; unmatched source rows are inserted with both stamps; other rows are unchanged.
+    Matched rows take every non-key column that the source has, except ``created_at``, keep the others
+    and get a new ``updated_at``; unmatched source rows are inserted with both stamps; other rows are
+    unchanged.
     A NULL in a key never matches. ``on_duplicate``: ``error`` fails the job when several source
     rows meet one target row (unmatched duplicates are all inserted); ``last`` keeps the last
     source row per key by ``last_by``.
@@ -79,8 +83,9 @@ def merge_upsert(
             return F.when(new, now).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
         if name == "updated_at":
             return F.when(hit, now).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
-        taken = F.col(f"s.{name}") if name in source_columns else F.lit(None)
-        return F.when(hit, taken).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
+        if name not in source_columns:
+            return F.col(f"t.{name}").cast(kind).alias(name)
+        return F.when(hit, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
 
     clash = hit & ~new & F.col("s.__copies").isNotNull()
     guard = F.when(
@@ -112,22 +117,24 @@ def upsert_table(
     """Upsert into a Parquet table, rewriting only the partitions the batch touches.
 
     The merged partitions are written next to the table first and copied in with a dynamic
-    partition overwrite, so no plan reads the files it replaces, and a run that stops half way can be
-    repeated. ``partition_by`` must be one of the keys: then a row never changes partition.
+    partition overwrite, so no plan reads the files it replaces. A run that stops half way can be
+    repeated where no key is NULL; rows with a NULL key never match, so partitions already published
+    would get them again. A first load goes through the same merge: it is stamped and its duplicates
+    are treated alike. ``partition_by`` must be one of the keys: then a row never changes partition.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the merge keys")
     if not path_exists(spark, path):
-        write_table(source, path, [partition_by], sort_by)
+        stamped = source.schema
+        for stamp in _STAMPS:
+            if stamp not in source.columns:
+                stamped = stamped.add(stamp, T.TimestampType())
+        empty = spark.createDataFrame([], stamped)
+        write_table(merge_upsert(empty, source, keys, **options), path, [partition_by], sort_by)
         return
     target = spark.read.parquet(path)
-    touched = source.select(partition_by).distinct()
-    part = target.join(
-        touched.withColumnRenamed(partition_by, "__p"),
-        F.col(partition_by).eqNullSafe(F.col("__p")),
-        "left_semi",
-    )  # becomes dynamic partition pruning
-    staging = f"{path.rstrip('/')}__merge"
+    part = target.filter(touched_partitions(source, [partition_by]))
+    staging = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex}"  # one per run
     try:
         write_table(merge_upsert(part, source, keys, **options), staging, [partition_by], sort_by)
         spark.read.schema(target.schema).parquet(staging).write.mode("overwrite").option(

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from lapframe import sinks, sources
 from lapframe.quality import not_null, range_check
 from lapframe.schemas import AUDIT, RAW, merge_keys
-from lapframe.session import path_exists
+from lapframe.streaming.dedup import touched_partitions
 
 
 def rows(df, *columns):
@@ -129,7 +129,7 @@ def test_upsert_updates_inserts_and_keeps(frame):
     source = frame([(1, 10, 50), (1, 13, 8), (None, 12, 70)], "s int, d int, v int")
     got = sinks.merge_upsert(_target(frame), source, ["s", "d"], now=at(NEW))
     assert stamps(got) == sorted([
-        (1, 10, 50, None, "1", "2"),   # updated; created_at kept, a column the batch lacks is NULL
+        (1, 10, 50, "a", "1", "2"),    # updated; created_at and a column the batch lacks are kept
         (1, 11, 6, "b", "1", "1"),     # untouched
         (1, 13, 8, None, "2", "2"),    # inserted
         (None, 12, 7, "c", "1", "1"),  # a NULL key never matches ...
@@ -167,7 +167,23 @@ def test_upsert_table_rewrites_touched_partitions(spark, frame, tmp_path):
     got = spark.read.parquet(path)
     assert rows(got, "session_key", "driver_number", "v") == [(1, 1, 1), (1, 2, 7), (2, 1, 1), (3, 1, 7)]
     assert {f for f in (tmp_path / "t" / "session_key=2").iterdir()} == before
-    assert not path_exists(spark, f"{path}__merge")
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+def test_upsert_reads_touched_partitions_only(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    ddl = "session_key int, driver_number int, v int"
+    keys = ["session_key", "driver_number"]
+    sinks.upsert_table(spark, path, frame([(1, 1, 1), (2, 1, 1), (2, 1, 2)], ddl), keys, on_duplicate="last", last_by=["v"], now=at(OLD))
+    got = spark.read.parquet(path)
+    # a first load is merged like any other
+    assert rows(got, "session_key", "v") == [(1, 1), (2, 2)]
+    assert got.filter(F.col("created_at") == at(OLD)).count() == 2
+    touched = got.filter(touched_partitions(frame([(1, 2, 7), (None, 1, 1)], ddl), ["session_key"]))
+    plan = touched._jdf.queryExecution().toString()
+    assert "PartitionFilters: [((session_key" in plan or "PartitionFilters: [(session_key" in plan
+    assert {f.rsplit("/", 2)[1] for f in touched.inputFiles()} <= {"session_key=1", "session_key=2"}
+    assert rows(touched, "session_key") == [(1,)]
 
 
 def test_publish_only_checked_data(spark, frame, tmp_path):
@@ -177,7 +193,7 @@ def test_publish_only_checked_data(spark, frame, tmp_path):
     bad = frame([(1, None), (1, 99)], "session_key int, v int")
     with pytest.raises(sinks.CheckFailed, match=r"not_null\(v\): 1, range_check\(v\): 1"):
         sinks.stage_and_publish(spark, bad, path, [not_null("v"), range_check("v", 0, 10)])
-    assert not path_exists(spark, f"{path}__staging")
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
     sinks.stage_and_publish(spark, frame([(2, 8)], "session_key int, v int"), path)
     assert rows(spark.read.parquet(path), "session_key", "v") == [(1, 5), (2, 8)]
     sinks.stage_and_publish(spark, good, path, mode="overwrite")

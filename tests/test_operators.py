@@ -90,7 +90,8 @@ def ordered(spark):
     data = []
     for i in range(600):
         key = "hot" if rnd.random() < 0.5 else rnd.choice(["a", "b", None])
-        data.append((key, rnd.randrange(200), i, rnd.randrange(9) if rnd.random() < 0.3 else None))
+        t = rnd.randrange(200) if rnd.random() < 0.9 else None
+        data.append((key, t, i, rnd.randrange(9) if rnd.random() < 0.3 else None))
     return spark.createDataFrame(data, "k string, t int, id int, v int").cache()
 
 
@@ -101,7 +102,7 @@ def part():
 @pytest.mark.parametrize("threshold", [1, 200, 10_000])
 def test_split_window_functions_match_plain_windows(ordered, threshold):
     order = ["t", "id"]
-    window = Window.partitionBy("k").orderBy(*order)
+    window = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "id")
     expected = rows(
         ordered.select(
             "id",
@@ -118,7 +119,7 @@ def test_split_window_functions_match_plain_windows(ordered, threshold):
 
 def test_more_hot_keys_than_may_be_collected(ordered, monkeypatch):
     monkeypatch.setattr("lapframe.operators.keys.MAX_HOT_KEYS", 1)
-    window = Window.partitionBy("k").orderBy("t", "id")
+    window = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), "id")
     expected = rows(ordered.select("id", F.row_number().over(window)))
     assert rows(numbered(ordered, ["k"], ["t", "id"], "rn", part(), 1), "id", "rn") == expected
 

@@ -18,7 +18,7 @@ def feed(spark, tmp_path):
     """A stream over JSON files, one micro-batch per list of rows."""
 
     def make(batches, ddl):
-        folder = tmp_path / "feed"
+        folder = tmp_path / f"feed{len(list(tmp_path.glob('feed*')))}"
         folder.mkdir()
         for i, batch in enumerate(batches):
             file = folder / f"{i}.json"
@@ -84,7 +84,11 @@ def test_batches_insert_a_key_once(spark, feed, tmp_path):
     out = str(tmp_path / "o")
     streaming.write_batches(feed(again, FEED), out, str(tmp_path / "c"), partition_by=["driver_number"]).awaitTermination()
     got = spark.read.parquet(out)
+    # a key is unique within its partition, so the rows do not depend on how they are batched
     assert rows(got, "driver_number", "id") == [(1, "m01"), (1, "m03"), (2, "m03")]
+    at_once = str(tmp_path / "at-once")
+    streaming.write_batches(feed([sum(again, [])], FEED), at_once, str(tmp_path / "c2"), partition_by=["driver_number"]).awaitTermination()
+    assert rows(spark.read.parquet(at_once), "driver_number", "id") == rows(got, "driver_number", "id")
     # a batch that runs again finds its rows in place
     again = spark.createDataFrame([("m01", 1)], "id string, driver_number int")
     streaming.insert_if_absent(again, out, ["id"], ["driver_number"])
