@@ -52,6 +52,8 @@ class Settings:
 DEFAULT = Settings()
 # Buckets of several groups with at most so many nodes are compared in pairs; larger ones by a hub.
 PAIRED = 32
+# The same for the buckets that a hub gave, where most pairs are dropped by their places.
+FINE_PAIRED = 512
 
 
 def least_matches(settings: Settings) -> list[tuple[int, int]]:
@@ -378,8 +380,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     first = True
     enough = f"{100 + percent} * (least(common, common_a) + least(lack - pos, lack_a - pos_a)) >= {percent} * (n + m)"
     while not level.isEmpty():
+        most = PAIRED if first else FINE_PAIRED
         sized = level.join(level.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
-        few, many = sized.filter(F.col("size") <= PAIRED), stored(sized.filter(F.col("size") > PAIRED), "neardup-many")
+        few, many = sized.filter(F.col("size") <= most), stored(sized.filter(F.col("size") > most), "neardup-many")
         left = few.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"), *[F.col(c).alias(f"{c}_a") for c in ("common", "lack", "pos")])
         crossing = few.join(left, "key").filter(f"a < node AND root <> other AND {long_enough} AND {enough}").select("a", F.col("node").alias("b"))
         likely = stored(_likely(crossing.distinct(), nodes, settings).select("a", "b"), "neardup-likely")

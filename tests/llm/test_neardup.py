@@ -126,6 +126,7 @@ def test_chains_copies_and_odd_rows(spark, frame):
 def test_a_family_of_copies_of_copies(frame, monkeypatch, paired):
     """Edits of edits of one text; hubs alone (0), mostly hubs, and pairs give the same groups."""
     monkeypatch.setattr(neardup, "PAIRED", paired)
+    monkeypatch.setattr(neardup, "FINE_PAIRED", paired)
     rng = random.Random(21)
     texts = [[f"w{i}" for i in range(100)], [f"w{i}" if i < 60 else f"u{i}" for i in range(100)]]
     for i in range(170):
