@@ -91,6 +91,16 @@ def sustained(
     )
 
 
+def _counts(i: int, check: Check, n_checked: Column, n_failed: Column) -> Column:
+    return F.struct(
+        F.lit(i).alias("i"),
+        F.lit(check.name).alias("check"),
+        F.lit(check.column).alias("column"),
+        n_checked.alias("n_checked"),
+        n_failed.alias("n_failed"),
+    )
+
+
 def run_checks(
     df: DataFrame,
     checks: Sequence[Check],
@@ -99,53 +109,27 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: table, check, column, n_checked, n_failed, passed.
 
-    All row-at-a-time checks of the table share one scan and one partial aggregate.
+    All row-at-a-time checks, and the numbers of rows that the others look at, share one scan and one
+    partial aggregate.
     """
     refs = refs or {}
-    parts = []
-    local = [c for c in checks if c.bad]
-    if local:
-        totals = []
-        for i, check in enumerate(local):
-            scope = check.scope()
-            totals += [
-                F.count_if(scope).alias(f"c{i}"),
-                F.count_if(scope & check.bad()).alias(f"f{i}"),
-            ]
-        rows = F.array(
-            *[
-                F.struct(
-                    F.lit(c.name).alias("check"),
-                    F.lit(c.column).alias("column"),
-                    F.col(f"c{i}").alias("n_checked"),
-                    F.col(f"f{i}").alias("n_failed"),
-                )
-                for i, c in enumerate(local)
-            ]
-        )
-        parts.append(df.agg(*totals).select(F.inline(rows)))
-    for check in checks:
-        if check.bad:
-            continue
-        scoped = df if check.where is None else df.filter(check.where)
-        # counted by two one-row aggregates put together, not by a join
-        counts = scoped.agg(
-            F.count(F.lit(1)).alias("n_checked"), F.lit(0).cast("long").alias("n_failed")
-        ).unionByName(
-            check.failures(df, refs).agg(
-                F.lit(0).cast("long").alias("n_checked"), F.count(F.lit(1)).alias("n_failed")
-            )
-        )
-        parts.append(
-            counts.agg(F.sum("n_checked").alias("n_checked"), F.sum("n_failed").alias("n_failed"))
-            .select(
-                F.lit(check.name).alias("check"),
-                F.lit(check.column).alias("column"),
-                "n_checked",
-                "n_failed",
-            )
-        )
-    out = reduce(DataFrame.unionByName, parts)
+    totals, rows = [], []
+    for i, check in enumerate(checks):
+        scope = check.scope()
+        failed = F.count_if(scope & check.bad()) if check.bad else F.lit(0).cast("long")
+        totals += [F.count_if(scope).alias(f"c{i}"), failed.alias(f"f{i}")]
+        rows.append(_counts(i, check, F.col(f"c{i}"), F.col(f"f{i}")))
+    parts = [df.agg(*totals).select(F.inline(F.array(*rows)))]
+    for i, check in enumerate(checks):
+        if not check.bad:  # what it checks is counted above; only its failures need a plan of their own
+            found = check.failures(df, refs).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(found.select(F.inline(F.array(_counts(i, check, F.lit(0).cast("long"), F.col("n"))))))
+    counts = reduce(DataFrame.unionByName, parts)
+    out = (
+        counts.groupBy("i", "check", "column")
+        .agg(F.sum("n_checked").alias("n_checked"), F.sum("n_failed").alias("n_failed"))
+        .drop("i")
+    )
     return out.select(
         F.lit(table).alias("table"), "*", (F.col("n_failed") == 0).alias("passed")
     )

@@ -12,6 +12,7 @@ from lapframe.sources.records import (  # noqa: F401
     normalize_columns,
     only_new,
     read_records,
+    rejected_records,
     require_fields,
 )
 from lapframe.sources.tables import load_sources, register_views  # noqa: F401

@@ -11,8 +11,13 @@ from pyspark.sql import types as T
 
 
 def parse_records(values: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """JSON texts, each one object or a list, to rows; list items that are no objects are dropped."""
+    """JSON texts, each one object or a list, to rows.
+
+    List items that are no objects are dropped, and so are malformed texts; :func:`rejected_records`
+    returns those. A field of another type than the schema's is NULL.
+    """
     text = F.trim(F.col(column))
+    values = values.filter(F.try_parse_json(text).isNotNull())
     items = F.when(text.startswith("["), F.from_json(text, "array<string>")).otherwise(
         F.array(text)
     )
@@ -24,6 +29,16 @@ def parse_records(values: DataFrame, schema: T.StructType, column: str = "value"
     )
 
 
+def rejected_records(values: DataFrame, column: str = "value") -> DataFrame:
+    """``record, reason`` of the texts that :func:`parse_records` leaves out as malformed.
+
+    Empty texts are neither records nor rejects.
+    """
+    text = F.trim(F.col(column))
+    bad = values.filter((text != "") & F.try_parse_json(text).isNull())
+    return bad.select(F.col(column).alias("record"), F.lit("malformed JSON").alias("reason"))
+
+
 def read_records(
     spark: SparkSession, path: str, schema: T.StructType, whole_files: bool = False
 ) -> DataFrame:

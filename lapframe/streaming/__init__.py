@@ -7,8 +7,10 @@ from lapframe.streaming.records import (  # noqa: F401
     format_records,
     payload_map,
     read_stream,
+    rejected_messages,
     replay_slice,
     route_by_fields,
+    unparseable,
 )
 from lapframe.streaming.sink import start_sink, write_batches  # noqa: F401
 from lapframe.streaming.throttle import (  # noqa: F401

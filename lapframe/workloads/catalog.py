@@ -78,7 +78,8 @@ def dq_relationships(p: Projection) -> DataFrame:
 
 @query
 def dq_accepted_values(p: Projection) -> DataFrame:
-    return quality.accepted_values("compound", COMPOUNDS).failures(p.stints)
+    """Compounds for a wet track, by the list of the dry ones."""
+    return quality.accepted_values("compound", COMPOUNDS[:3]).failures(p.stints)
 
 
 @query
@@ -227,6 +228,15 @@ def read_records(p: Projection) -> DataFrame:
     return sources.read_records(p.spark, path, _schema(p.spark, schema))
 
 
+@query
+def rejected_records(p: Projection) -> DataFrame:
+    """Every seventh line is cut off."""
+    events = p.table("events")
+    line = F.to_json(F.struct("event_id", "event_type", "value"))
+    lines = events.select(F.when(F.col("event_id") % 7 == 0, F.substring(line, 1, 10)).otherwise(line).alias("value"))
+    return sources.rejected_records(lines)
+
+
 def _schema(spark: SparkSession, ddl: str):
     return spark.createDataFrame([], ddl).schema
 
@@ -289,9 +299,16 @@ def replay_slice(p: Projection) -> DataFrame:
     return streaming.replay_slice(p.car_data, 4, 5, "2024-01-10T06:00:00", minutes=24 * 60)
 
 
+def _busy(ev: DataFrame) -> DataFrame:
+    """Messages of three drivers with coarse times, so that most fall into the second before."""
+    return ev.select(
+        "event_id", (F.col("driver_number") % 3).alias("driver_number"), F.date_trunc("hour", F.col("ts")).alias("date")
+    )
+
+
 @query
 def throttle_batch(p: Projection) -> DataFrame:
-    ev = p.ev.select("event_id", "driver_number", F.col("ts").alias("date"))
+    ev = _busy(p.ev)
     return streaming.throttle_batch(
         ev, order=["date", "event_id"], part=F.date_trunc("minute", F.col("date"))
     )
@@ -319,7 +336,7 @@ def stream_dedup(p: Projection) -> DataFrame:
 
 @query
 def stream_throttle(p: Projection) -> DataFrame:
-    ev = _event_stream(p).select("event_id", "driver_number", F.col("ts").alias("date"))
+    ev = _busy(_event_stream(p))
     out, state = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-state")
     mark = scratch_dir(p.spark, "throttle-checkpoint")
     streaming.write_throttled(ev, out, state, mark, tie_breaker="event_id").awaitTermination()
@@ -329,7 +346,7 @@ def stream_throttle(p: Projection) -> DataFrame:
 @query
 def stream_throttle_state(p: Projection) -> DataFrame:
     """The same through keyed state."""
-    ev = _event_stream(p).select("event_id", "driver_number", F.col("ts").alias("date"))
+    ev = _busy(_event_stream(p))
     passed = streaming.throttle_per_second(ev, tie_breaker="event_id")
     out, mark = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-checkpoint")
     streaming.start_sink(passed, out, mark).awaitTermination()

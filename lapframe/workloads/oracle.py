@@ -336,7 +336,7 @@ CTE["dq_relationships"] = """
 SELECT * FROM car_data
 WHERE driver_number IS NOT NULL
   AND driver_number NOT IN (SELECT driver_number FROM drivers WHERE team_name = 'MACHINERY')"""
-CTE["dq_accepted_values"] = f"SELECT * FROM stints WHERE compound NOT IN {_COMPOUNDS}"
+CTE["dq_accepted_values"] = "SELECT * FROM stints WHERE compound NOT IN ('SOFT', 'MEDIUM', 'HARD')"
 CTE["dq_range"] = "SELECT * FROM car_data WHERE rpm < 0 OR rpm > 15000"
 CTE["dq_range_count"] = """
 SELECT count(*) AS n_failed FROM car_data WHERE brake < 0 OR brake > 100"""
@@ -466,6 +466,8 @@ SELECT CAST(event_id AS DOUBLE) AS event_id, ts AS event_date, CAST(user_id AS D
        event_type, value
 FROM events"""
 CTE["read_records"] = "SELECT event_id, ts AS date, event_type, value FROM events"
+CTE["rejected_records"] = """
+SELECT '{"event_id' AS record, 'malformed JSON' AS reason FROM events WHERE event_id % 7 = 0"""
 CTE["staged_publish"] = "SELECT * FROM position"
 CTE["table_layout"] = "SELECT * FROM laps"
 
@@ -492,9 +494,9 @@ WHERE session_key = 4 AND driver_number = 5 AND date > TIMESTAMP '2024-01-10 06:
   AND date < TIMESTAMP '2024-01-11 06:00:00.200'"""
 CTE["stream_dedup"] = "SELECT * FROM payload_car"
 CTE["stream_throttle"] = """
-SELECT event_id, driver_number, ts AS date FROM ev0
-QUALIFY date_trunc('second', ts) IS DISTINCT FROM
-        lag(date_trunc('second', ts)) OVER (PARTITION BY driver_number ORDER BY ts, event_id)"""
+SELECT event_id, driver_number, date
+FROM (SELECT event_id, driver_number % 3 AS driver_number, date_trunc('hour', ts) AS date FROM ev0)
+QUALIFY date IS DISTINCT FROM lag(date) OVER (PARTITION BY driver_number ORDER BY date, event_id)"""
 CTE["throttle_batch"] = CTE["stream_throttle"]
 CTE["stream_throttle_state"] = CTE["stream_throttle"]
 CTE["stream_counts"] = """

@@ -125,6 +125,13 @@ def stamps(df):
     return rows(df, "s", "d", "v", "note", day("created_at", "d"), day("updated_at", "d"))
 
 
+def test_malformed_records_are_rejected(frame):
+    lines = frame([('{"k": ',), ('[{"k":2}, {"k": ]',), ('{"k": 3}',), ('[{"k": 4}, 5]',), ('',), ('{"k": "x"}',)], "value string")
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    assert rows(sources.records.parse_records(lines, schema)) == [(3,), (4,), (None,)]
+    assert rows(sources.rejected_records(lines), "record") == [('[{"k":2}, {"k": ]',), ('{"k": ',)]
+
+
 def test_upsert_updates_inserts_and_keeps(frame):
     source = frame([(1, 10, 50), (1, 13, 8), (None, 12, 70)], "s int, d int, v int")
     got = sinks.merge_upsert(_target(frame), source, ["s", "d"], now=at(NEW))

@@ -121,6 +121,23 @@ def test_format_gaps_and_defaults(frame):
     assert rows(car, "speed", "rpm", "date") == [(5, 0, "2024-01-01 10:00:00")]
 
 
+def test_bad_numbers_and_messages_are_rejected(frame):
+    raw = frame([("44.0", "1"), ("44", "abc"), ("44", None), ("7", "300")], "driver_number string, speed string")
+    assert rows(streaming.format_records(raw, "car"), "driver_number", "speed") == [(44, 0), (7, 300)]
+    assert raw.filter(streaming.unparseable(raw, "car")).count() == 2
+    messages = frame([("not json",), ('{"schema": {}}',), ('{"payload": {"driver_number": 4}}',)], "value string")
+    assert rows(streaming.decode_envelope(messages, "car"), "driver_number") == [(4,)]
+    assert rows(streaming.rejected_messages(messages), "reason") == [("malformed JSON",), ("no payload",)]
+
+
+def test_throttle_takes_records_without_an_id(frame):
+    rows_in = [(None, 1, 5), ("b", 1, 5), ("a", 1, 6)]
+    pdf = frame(rows_in, "id string, driver_number int, s int").toPandas()
+    from lapframe.streaming.throttle import _ranks
+
+    assert _ranks(pdf["id"]).tolist() == [3.0, 2.0, 1.0]
+
+
 def test_envelope_layout_and_round_trip(frame):
     for kind, schema in STREAM.items():
         raw = frame([(44, 9, None)], "driver_number int, session_key int, date timestamp")
