@@ -24,6 +24,10 @@ from lapframe.llm.common import id_and_text, text_chunks
 CACHE_WORDS = 3 << 17
 # A longer word is encoded without being kept.
 LONG_WORD = 64
+# Trailing marks that are tokens of their own: no apostrophe, and nothing of a special token's name.
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+# Letters below this code point are letters, and have a lower case, in every Unicode version.
+LATIN = 0x250
 
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -49,12 +53,42 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.merges = self.tokenizer.model
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        # how the vocabulary writes bytes: printable ones as themselves, others from 256 on, in order
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.written = {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.int32).tobytes()
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, np.int32).tobytes() for e in found]
+        """Latin letters with marks behind them, nearly all words, go to the library's merge model in two
+        parts; normal form, splitting and all other words are left to the whole tokenizer."""
+        out = []
+        if len(self.letters) > CACHE_WORDS:
+            self.letters.clear()
+        if len(self.marks) > CACHE_WORDS:
+            self.marks = {"": b""}
+        for word in words:
+            core = word.rstrip(MARKS)
+            if not core.isalpha() or not (core.isascii() or max(core) < chr(LATIN)) or "İ" in core:
+                out.append(self._whole(word))
+                continue
+            core, tail = "".join(map(str.lower, core)), word[len(core) :]
+            ids = self.letters.get(core)
+            if ids is None:
+                text = core if core.isascii() else "".join(map(self.written.__getitem__, core.encode("utf-8")))
+                ids = np.array([t.id for t in self.merges.tokenize(text)], np.int32).tobytes()
+                self.letters[core] = ids
+            if tail not in self.marks:
+                self.marks[tail] = self._whole(tail)
+            out.append(ids + self.marks[tail])
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
