@@ -8,10 +8,11 @@ compared on their full shingle sets, recomputed from the whole texts.
 All pairs of a bucket are never listed. First every node is compared with the smallest node of each
 of its buckets, and the best candidate is verified; that joins most of a group. A bucket that still
 holds several groups is then worked off exactly. Up to ``PAIRED`` nodes are compared in pairs. In a
-larger bucket all nodes are compared with one hub: let N(x) be the shingles of x that the hub lacks.
-If N(x) and N(y) share nothing, x and y are no more alike than x and the hub, for the common part
-lies inside the hub's common part with x, and the union contains that of x and the hub. So a node that the hub
-does not link can be linked with another only if both have shingles that the hub lacks, and these
+larger bucket all nodes are compared with one hub, of at most as many shingles as any of them: let N(x)
+be the shingles of x that the hub lacks. If N(x) and N(y) share nothing, the common part of x and y lies
+inside that of x and the hub, and inside that of y and the hub; as the hub is no larger than x or y, each
+of them is then at least as much like the hub as like the other. So two nodes that are alike are both
+linked with the hub, or both have shingles that the hub lacks, and these
 name the next, smaller buckets. They must share so many that a prefix of each N(x), in hash order, is
 enough to meet in, and that a pair can be dropped by where in the order it first meets.
 """
@@ -318,18 +319,18 @@ def _of_several_groups(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _hubs(many: DataFrame, shared: bool) -> DataFrame:
-    """``key, hub``: the node of each bucket that meets most others over all buckets.
+    """``key, hub``: a node with no more shingles than any of the bucket, of these one that meets most others.
 
-    ``shared``: buckets whose nodes also meet in a bucket with a busier hub take that one, a few times
-    over, so that a family of near copies mostly has one hub. Any hub gives right results.
+    ``shared``: buckets whose nodes also meet in a bucket with a smaller hub take that one, a few times
+    over, so that a family of near copies mostly has one hub. A larger hub would lose links.
     """
     scored = many.join(many.groupBy("node").agg(F.sum("size").alias("score")), "node")
-    best = F.max(F.struct("score", (-F.col("node")).alias("minus")))
+    best = F.min(F.struct("n", (-F.col("score")).alias("minus"), "node"))
     own = scored.groupBy("key").agg(best.alias("top"))
     for _ in range(3 if shared else 0):
-        seen = many.select("key", "node").join(own, "key").groupBy("node").agg(F.max("top").alias("top"))
-        own = many.select("key", "node").join(seen, "node").groupBy("key").agg(F.max("top").alias("top"))
-    return own.select("key", (-F.col("top.minus")).alias("hub"))
+        seen = many.select("key", "node").join(own, "key").groupBy("node").agg(F.min("top").alias("top"))
+        own = many.select("key", "node").join(seen, "node").groupBy("key").agg(F.min("top").alias("top"))
+    return own.select("key", F.col("top.node").alias("hub"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:

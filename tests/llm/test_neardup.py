@@ -140,6 +140,25 @@ def test_a_family_of_copies_of_copies(frame, monkeypatch, paired):
     check(frame(rows, "doc_id bigint, text string"), rows)
 
 
+@pytest.mark.parametrize("paired", [0, 3, 32])
+def test_excerpts_and_texts_with_appended_tails(frame, monkeypatch, paired):
+    """Copies of different length: short ones are alike though the longest is like none of them."""
+    monkeypatch.setattr(neardup, "PAIRED", paired)
+    monkeypatch.setattr(neardup, "FINE_PAIRED", paired)
+    base = [f"w{i}" for i in range(84)]
+    tail = lambda k: [f"t{k}_{i}" for i in range(20)]
+    longer = base + tail(0)
+    texts = [base + tail(k) for k in range(1, 140)]  # the smallest of each bucket, like nothing else
+    texts += [longer, *([*longer[:-1], f"end{i}"] for i in range(80))]
+    texts += [longer + tail(k) for k in range(200, 260)]
+    texts += [base, base[:-1]]  # 80 and 79 shingles, all of which the 81 texts above have too
+    other = [f"v{i}" for i in range(104)]
+    texts += [other, *([*other, f"u{i}"] for i in range(20)), *(other[:n] for n in range(66, 104)), *(other[n:] for n in range(1, 30))]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    random.Random(5).shuffle(rows)
+    check(frame(rows, "doc_id bigint, text string"), rows)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = spark.range(1, 200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     star = spark.range(1001, 1100).select(F.lit(1000).cast("bigint").alias("a"), F.col("id").alias("b"))
