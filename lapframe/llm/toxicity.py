@@ -87,29 +87,21 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def _distinct(sets: list[np.ndarray]) -> list[int]:
-    """Positions without near copies of an earlier set: those share one of two pairs of minimum hashes."""
-    seen, out = set(), []
-    salts = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint64)
-    for i, s in enumerate(sets):
-        if len(s) == 0:
-            out.append(i)
-            continue
-        mins = ((s.astype(np.uint64)[:, None] * salts) >> np.uint64(7) & np.uint64(0xFFFFFFF)).min(0)
-        keys = {(0, int(mins[0]), int(mins[1])), (1, int(mins[2]), int(mins[3]))}
-        if not keys & seen:
-            out.append(i)
-        seen |= keys
-    return out
+def _distinct(sets: list[np.ndarray], labels: np.ndarray) -> list[int]:
+    """Positions without copies of an earlier row: those with the same label and an equal set."""
+    first: dict[tuple[int, bytes], int] = {}
+    for i, (s, y) in enumerate(zip(sets, labels, strict=True)):
+        first.setdefault((int(y), np.unique(s).astype(np.int64).tobytes()), i)
+    return list(first.values())
 
 
 def fit(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """Fit a machine on sets of hashed terms; copies among them count once.
+    """Fit a machine on sets of hashed terms; equal sets with one label count once.
 
     Without documents, or with one label only, no term gets a weight and the bias is the smoothed
     share of the label.
     """
-    kept = _distinct(sets)
+    kept = _distinct(sets, labels)
     sets, labels = [sets[i] for i in kept], labels[kept].astype(np.float64)
     n, pos = len(labels), float(labels.sum())
     rate = (pos + 0.5) / (n + 2)

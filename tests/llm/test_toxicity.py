@@ -27,6 +27,22 @@ def test_pairs_that_weights_alone_cannot_tell():
     assert machine.factors[i] @ machine.factors[j] > 0
 
 
+def test_rows_that_differ_by_the_insult_alone_are_kept():
+    """Every toxic row has a clean twin before it; exact copies with the same label count once."""
+    rng = np.random.default_rng(2)
+    insult, noise = toxicity.hashed("insult"), [toxicity.hashed(f"w{i}") for i in range(400)]
+    sets, labels = [], []
+    for _ in range(100):
+        clean = np.sort(rng.choice(noise, 40, replace=False))
+        sets += [clean, np.sort(np.append(clean, insult)), clean]
+        labels += [0, 1, 0]
+    machine = toxicity.fit(sets, np.array(labels))
+    score = machine.score(["insult", ""])
+    assert score[0] > 0.5 > score[1]
+    assert toxicity._distinct(sets, np.array(labels)) == [i for i in range(300) if i % 3 < 2]
+    assert toxicity._distinct([sets[0], sets[0]], np.array([0, 1])) == [0, 1]
+
+
 def test_score_is_the_written_sum():
     machine = toxicity.Machine(
         {toxicity.hashed("a"): 0, toxicity.hashed("b"): 1}, -1.0, np.array([0.5, 2.0]), np.array([[1.0, 2.0], [0.5, -1.0]])
