@@ -57,6 +57,18 @@ def checked_broadcast(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
 
 
+def byte_pieces(data: bytes, limit: int = CHUNK_CHARS) -> Iterator[bytes]:
+    """The bytes in pieces of about ``limit``, cut before a space or line feed; a longer word is not cut."""
+    start = 0
+    while len(data) - start > limit:
+        spaces = [at for at in (data.find(b" ", start + limit), data.find(b"\n", start + limit)) if at >= 0]
+        if not spaces:
+            break
+        yield data[start : min(spaces)]
+        start = min(spaces)
+    yield data[start:] if start else data
+
+
 def text_chunks(
     batches: Iterator[pa.RecordBatch], limit: int = CHUNK_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

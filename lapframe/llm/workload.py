@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapframe.llm import bpe, fingerprints, licenses, lm, mixing, neardup, orc_output, pii, quality, toxicity
+from lapframe.llm import (
+    bpe,
+    conversations,
+    fingerprints,
+    licenses,
+    lm,
+    mixing,
+    neardup,
+    orc_output,
+    pii,
+    quality,
+    ranked_search,
+    rule_ensemble,
+    statements,
+    toxicity,
+)
 from lapframe.llm.common import read_table
 from lapframe.session import scratch_dir
 
@@ -73,6 +88,19 @@ def op10_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_output.document_index(spark, path)
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return rule_ensemble.score_documents(docs, rule_ensemble.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -84,7 +112,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_orc_output": op10_orc_output,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 # Statements for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_conversation_repair": statements.CONVERSATION_REPAIR,
+    "op13_ranked_search": statements.RANKED_SEARCH,
+}
