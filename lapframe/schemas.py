@@ -15,6 +15,7 @@ def _struct(**columns: T.DataType) -> T.StructType:
 
 AUDIT = _struct(processed_date=_DATE, created_at=_TS, updated_at=_TS)
 
+# Names and types of the raw tables.
 RAW: dict[str, T.StructType] = {
     "meetings": _struct(
         meeting_key=_INT, circuit_key=_INT, circuit_short_name=_STR, country_name=_STR,
@@ -100,7 +101,7 @@ POINTS = {1: 25, 2: 18, 3: 15, 4: 12, 5: 10, 6: 8, 7: 6, 8: 4, 9: 2, 10: 1}
 DRS_CODES = [0, 1, 2, 3, 8, 9, 10, 11, 12, 13, 14, 15]
 COMPOUNDS = ["SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET"]
 
-# Live record kinds: payload fields in wire order. A field is required unless listed in OPTIONAL.
+# Live record kinds with their payload fields in wire order.
 STREAM: dict[str, T.StructType] = {
     "location": _struct(
         id=_STR, x=_FLT, y=_FLT, z=_FLT, driver_number=_INT, date=_STR, session_key=_INT,
@@ -119,6 +120,7 @@ STREAM: dict[str, T.StructType] = {
         session_key=_INT, meeting_key=_INT,
     ),
 }
+# Fields that a message must carry.
 STREAM_REQUIRED = {"id", "driver_number", "session_key", "meeting_key"}
 
 # Fixed values of the wire format: envelope names and topics per kind.

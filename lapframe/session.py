@@ -72,6 +72,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(hpath, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    fs, hpath = _hadoop_path(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
 def naive_timestamps(df: DataFrame) -> DataFrame:
     """Cast every TIMESTAMP column to TIMESTAMP_NTZ, for consumers that expect naive UTC times."""
     casts = {

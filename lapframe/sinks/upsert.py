@@ -16,6 +16,7 @@ from lapframe.sinks.layout import write_table
 from lapframe.streaming.dedup import touched_partitions
 
 _STAMPS = ("created_at", "updated_at")
+LOAD_ID = "load_id"
 
 
 def merge_upsert(
@@ -25,6 +26,8 @@ def merge_upsert(
     on_duplicate: str = "error",
     last_by: Sequence[str] = (),
     now: Column | None = None,
+    new_columns: str = "error",
+    load_id: str | None = None,
 ) -> DataFrame:
     """The target after ``MERGE`` of the source on ``keys``.
 
@@ -33,9 +36,25 @@ def merge_upsert(
     unchanged.
     A NULL in a key never matches. ``on_duplicate``: ``error`` fails the job when several source
     rows meet one target row (unmatched duplicates are all inserted); ``last`` keeps the last
-    source row per key by ``last_by``.
+    source row per key by ``last_by``. ``new_columns``: columns that only the source has are an
+    ``error``, or ``add``ed to the target, NULL in its other rows.
+
+    ``load_id`` makes a load repeatable whatever its keys: inserted rows carry it in a column of that
+    name, and rows that this very load has inserted before are put aside first, so they are inserted
+    anew instead of doubled.
     """
     keys = list(keys)
+    if new_columns not in ("error", "add"):
+        raise ValueError(f"new_columns must be 'error' or 'add', not {new_columns!r}")
+    if load_id is not None:
+        source = source.drop(LOAD_ID)
+        if LOAD_ID not in target.columns:
+            target = target.withColumn(LOAD_ID, F.lit(None).cast("string"))
+        target = target.filter(~F.col(LOAD_ID).eqNullSafe(F.lit(load_id)))
+    extra = [f for f in source.schema.fields if f.name not in target.columns]
+    if extra and new_columns == "error":
+        raise ValueError(f"columns missing in target: {[f.name for f in extra]}")
+    target = target.withColumns({f.name: F.lit(None).cast(f.dataType) for f in extra}) if extra else target
     for side, df in (("target", target), ("source", source)):
         missing = [k for k in keys if k not in df.columns]
         if missing:
@@ -56,19 +75,14 @@ def merge_upsert(
             batch.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1")
             .drop("__rank")
         )
-        multiple = None
+        copies = F.lit(1).cast("long")
     else:
-        multiple = (
-            batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).filter("__copies > 1")
-        )
+        # a window on the keys needs the same exchange as the join
+        copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
 
     source_columns = set(source.columns)
     left = base.withColumn("__in_target", F.lit(True)).alias("t")
-    right = batch.withColumn("__in_source", F.lit(True))
-    if multiple is not None:
-        right = right.join(multiple, keys, "left")
-    else:
-        right = right.withColumn("__copies", F.lit(None).cast("long"))
+    right = batch.withColumn("__in_source", F.lit(True)).withColumn("__copies", copies)
     joined = left.join(
         right.alias("s"), reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]),
         "full_outer",
@@ -83,11 +97,13 @@ def merge_upsert(
             return F.when(new, now).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
         if name == "updated_at":
             return F.when(hit, now).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
+        if name == LOAD_ID and load_id is not None:
+            return F.when(new, F.lit(load_id)).otherwise(F.col(f"t.{name}")).alias(name)
         if name not in source_columns:
             return F.col(f"t.{name}").cast(kind).alias(name)
         return F.when(hit, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).cast(kind).alias(name)
 
-    clash = hit & ~new & F.col("s.__copies").isNotNull()
+    clash = hit & ~new & (F.col("s.__copies") > 1)
     guard = F.when(
         clash, F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     ).otherwise(F.lit(True))
@@ -97,6 +113,8 @@ def merge_upsert(
         kind = target.schema[name].dataType
         if name in _STAMPS:
             return now.cast(kind).alias(name)
+        if name == LOAD_ID and load_id is not None:
+            return F.lit(load_id).alias(name)
         value = F.col(name) if name in source_columns else F.lit(None)
         return value.cast(kind).alias(name)
 
@@ -118,9 +136,10 @@ def upsert_table(
 
     The merged partitions are written next to the table first and copied in with a dynamic
     partition overwrite, so no plan reads the files it replaces. A run that stops half way can be
-    repeated where no key is NULL; rows with a NULL key never match, so partitions already published
-    would get them again. A first load goes through the same merge: it is stamped and its duplicates
-    are treated alike. ``partition_by`` must be one of the keys: then a row never changes partition.
+    repeated with the same ``load_id`` (see :func:`merge_upsert`); without one, rows with a NULL key
+    would come again in partitions already published. A first load goes through the same merge: it is
+    stamped and its duplicates are treated alike. ``partition_by`` must be one of the keys: then a row
+    never changes partition. Read a table whose columns have grown with the option ``mergeSchema``.
     """
     if partition_by not in keys:
         raise ValueError(f"{partition_by} must be one of the merge keys")
@@ -129,15 +148,20 @@ def upsert_table(
         for stamp in _STAMPS:
             if stamp not in source.columns:
                 stamped = stamped.add(stamp, T.TimestampType())
+        if options.get("load_id") is not None and LOAD_ID not in source.columns:
+            stamped = stamped.add(LOAD_ID, T.StringType())
         empty = spark.createDataFrame([], stamped)
         write_table(merge_upsert(empty, source, keys, **options), path, [partition_by], sort_by)
         return
-    target = spark.read.parquet(path)
+    # only tables whose columns may grow are read for the columns of all their files
+    grows = options.get("load_id") is not None or options.get("new_columns") == "add"
+    target = spark.read.option("mergeSchema", str(grows).lower()).parquet(path)
     part = target.filter(touched_partitions(source, [partition_by]))
     staging = f"{path.rstrip('/')}__merge-{uuid.uuid4().hex}"  # one per run
     try:
-        write_table(merge_upsert(part, source, keys, **options), staging, [partition_by], sort_by)
-        spark.read.schema(target.schema).parquet(staging).write.mode("overwrite").option(
+        merged = merge_upsert(part, source, keys, **options)
+        write_table(merged, staging, [partition_by], sort_by)
+        spark.read.schema(merged.schema).parquet(staging).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(partition_by).parquet(path)
     finally:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapframe import quality, sinks, sources, streaming
 from lapframe.plans import Warehouse
@@ -124,6 +125,99 @@ def merge_upsert(p: Projection) -> DataFrame:
     return sinks.merge_upsert(base, batch, merge_keys("car_data"), now=new)
 
 
+def _table_then_batch(p: Projection, path: str) -> DataFrame:
+    """A first load of a table, then a batch that changes some partitions of it."""
+    columns = [*merge_keys("car_data"), "speed", "rpm"]
+    base = p.car_of(p.ev.filter("event_type <> 'signup' AND session_key < 9")).select(*columns)
+    batch = p.car_of(p.ev.filter("event_type <> 'click' AND session_key > 4")).select(*columns)
+    batch = batch.withColumns({"speed": F.col("speed") + 1, "marked": F.lit(True)})
+    keys = merge_keys("car_data")
+    sinks.upsert_table(p.spark, path, base, keys, now=_stamp("2024-02-01"))
+    sinks.upsert_table(p.spark, path, batch, keys, now=_stamp("2024-02-02"), new_columns="add")
+    schema = _schema(p.spark, "meeting_key int, driver_number int, date timestamp, speed int, rpm int, "
+                     "created_at timestamp, updated_at timestamp, marked boolean, session_key int")
+    return p.spark.read.schema(schema).parquet(path)
+
+
+@query
+def upsert_table(p: Projection) -> DataFrame:
+    return _table_then_batch(p, scratch_dir(p.spark, "upserted"))
+
+
+@query
+def upsert_race_control(p: Projection) -> DataFrame:
+    """Messages about no driver match nothing; one load is stopped half way and another comes twice."""
+    path, keys = scratch_dir(p.spark, "race-control"), merge_keys("race_control")
+    first = p.race_control.filter("category <> 'signup'")
+    second = p.race_control.filter("category <> 'click'").withColumn("flag", F.lit("RED"))
+    stamps = [("load 1", first, "2024-02-01"), ("load 2", second.filter("session_key <= 5"), "2024-02-02")]
+    stamps += [("load 2", second, "2024-02-02"), ("load 2", second, "2024-02-02"), ("load 1", first.limit(0), "2024-02-01")]
+    for load_id, batch, day in stamps:
+        sinks.upsert_table(p.spark, path, batch, keys, now=_stamp(day), load_id=load_id)
+    schema = [*p.race_control.schema.fields, *_schema(p.spark, "created_at timestamp, updated_at timestamp, load_id string").fields]
+    return p.spark.read.schema(T.StructType(schema)).parquet(path)
+
+
+def _landed(df: DataFrame, upper: bool = False) -> DataFrame:
+    """Records landed as files of JSON lines, times as text; keys in upper case on request. NULL fields are left out."""
+    texts = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for c, kind in df.dtypes if kind == "timestamp"}
+    rows = df.withColumns(texts)
+    rows = rows.toDF(*[c.upper() for c in rows.columns]) if upper else rows
+    return _files(rows.select(F.to_json(F.struct(*rows.columns)).alias("value")))
+
+
+def _files(lines: DataFrame) -> DataFrame:
+    path = scratch_dir(lines.sparkSession, "landed")
+    lines.write.text(path)
+    return lines.sparkSession.read.text(path)
+
+
+def _loaded(p: Projection) -> str:
+    """Two loads of landed lines: the second meets sessions that exist, and two of its tables fail."""
+    base, day = scratch_dir(p.spark, "loaded"), "2024-02-0"
+    car = p.car_of(p.ev, "event_id").withColumn("date", F.when(F.col("event_id") % 11 != 0, F.col("date"))).drop("event_id")
+    broken = _files(p.ev.filter("event_id % 97 = 0").select(F.substring(F.to_json(F.struct("event_id", "value")), 1, 9).alias("value")))
+    sinks.load_batch(p.spark, base, {"pit": _landed(p.pit.filter("session_key <= 3"), upper=True)}, p.sessions, day + "1", "load 1", now=_stamp(day + "1"))
+    landed = {
+        "pit": _landed(p.pit, upper=True).unionByName(broken),
+        "weather": _landed(p.weather),  # its records lack a merge key
+        "position": _landed(p.position),  # its check fails
+        "intervals": _landed(p.intervals.withColumn("gap_to_leader", F.nullif("gap_to_leader", F.lit("None")))),
+        "race_control": _landed(p.race_control),
+        "team_radio": _landed(p.team_radio.filter("session_key <> 4").dropDuplicates(["session_key"])),
+        "car_data": _landed(car),
+    }
+    checks = {"position": [quality.range_check("position", 1, 15)], "pit": [quality.not_null("date")]}
+    sinks.load_batch(p.spark, base, landed, p.sessions, day + "2", "load 2", checks, now=_stamp(day + "2"))
+    # the second time changes nothing, for messages about no driver neither
+    again = {"race_control": landed["race_control"]}
+    sinks.load_batch(p.spark, base, again, p.sessions, day + "2", "load 2", checks, now=_stamp(day + "2"))
+    return base
+
+
+@query
+def load_batch(p: Projection) -> DataFrame:
+    return sinks.read_ledger(p.spark, _loaded(p), "load 2")
+
+
+@query
+def load_published(p: Projection) -> DataFrame:
+    """The published tables per session, read with their declared schemas, and the rejects."""
+    base = _loaded(p)
+    tables = sources.load_sources(p.spark, base, ["pit", "intervals", "race_control", "team_radio", "car_data"], audit=True)
+    per_table = [
+        df.groupBy("session_key").agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count("driver_number").alias("with_driver"),
+            F.countDistinct("processed_date").alias("days"),
+            F.min("created_at").alias("created_at"),
+        ).withColumn("name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    rejects = sinks.read_rejects(p.spark, base, "load 2").groupBy(F.concat_ws(": ", "endpoint", "reason").alias("name")).agg(F.count(F.lit(1)).alias("records"))
+    return reduce(DataFrame.unionByName, per_table).unionByName(rejects, allowMissingColumns=True)
+
+
 @query
 def only_new(p: Projection) -> DataFrame:
     return sources.only_new(
@@ -322,6 +416,20 @@ def _event_stream(p: Projection) -> DataFrame:
     return p.shape_events(zoned_timestamps(stream.parquet(f"{p.base}/event[s].parquet")))
 
 
+def _sliced_stream(p: Projection, slices: int = 4) -> DataFrame:
+    """The events as a stream of several micro-batches, which come in the order of time."""
+    path, rows = scratch_dir(p.spark, "slices"), p.ev
+    for i in range(slices):
+        part = rows.filter(F.expr(f"(session_key - 1) * {slices} DIV 10") == i)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return p.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _twice(stream: DataFrame) -> DataFrame:
+    """Messages with a high value arrive a second time."""
+    return stream.withColumn("again", F.explode(F.when(F.col("value") > 100, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("again")
+
+
 @query
 def stream_dedup(p: Projection) -> DataFrame:
     """Every message with a high value arrives twice; however the files come, no record is lost."""
@@ -329,9 +437,21 @@ def stream_dedup(p: Projection) -> DataFrame:
     messages = streaming.encode_envelope(_car_payload(p, events.unionByName(again)), "car")
     payload = streaming.decode_envelope(messages, "car")
     out, mark = scratch_dir(p.spark, "dedup"), scratch_dir(p.spark, "dedup-checkpoint")
-    unique = streaming.dedup_stream(payload, "id")
-    streaming.start_sink(unique, out, mark).awaitTermination()
-    return p.spark.read.schema(unique.schema).parquet(out)
+    streaming.write_unique(payload, out, mark, buckets=4).awaitTermination()
+    return streaming.read_batches(payload, out)
+
+
+@query
+def stream_dedup_batches(p: Projection) -> DataFrame:
+    """The same over micro-batches, of which each repeats the messages of earlier ones."""
+    path = scratch_dir(p.spark, "repeated")
+    for upto in (3, 6, 10):  # each file has all sessions so far
+        p.ev.filter(F.col("session_key") <= upto).coalesce(1).write.mode("append").parquet(path)
+    stream = p.spark.readStream.schema(p.ev.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    payload = _car_payload(p, stream)
+    out, mark = scratch_dir(p.spark, "dedup"), scratch_dir(p.spark, "dedup-checkpoint")
+    streaming.write_unique(payload, out, mark, buckets=4, merge_every=2).awaitTermination()
+    return streaming.read_batches(payload, out)
 
 
 @query
@@ -339,14 +459,14 @@ def stream_throttle(p: Projection) -> DataFrame:
     ev = _busy(_event_stream(p))
     out, state = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-state")
     mark = scratch_dir(p.spark, "throttle-checkpoint")
-    streaming.write_throttled(ev, out, state, mark, tie_breaker="event_id").awaitTermination()
+    streaming.write_throttled(ev, out, state, mark, tie_breaker="event_id", buckets=4).awaitTermination()
     return p.spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").select(*ev.columns)
 
 
 @query
 def stream_throttle_state(p: Projection) -> DataFrame:
-    """The same through keyed state."""
-    ev = _busy(_event_stream(p))
+    """The same through keyed state, over several micro-batches."""
+    ev = _busy(_sliced_stream(p))
     passed = streaming.throttle_per_second(ev, tie_breaker="event_id")
     out, mark = scratch_dir(p.spark, "throttle"), scratch_dir(p.spark, "throttle-checkpoint")
     streaming.start_sink(passed, out, mark).awaitTermination()
@@ -375,15 +495,113 @@ def stream_sink(p: Projection) -> DataFrame:
 
 @query
 def stream_load_metrics(p: Projection) -> DataFrame:
-    events, again = _event_stream(p), _event_stream(p).filter("value > 100")
-    rows = events.unionByName(again).select(
-        F.col("event_type").alias("kind"), F.col("event_id").alias("id"), "value"
-    )
+    """Over several micro-batches; counts are observed, not taken by reading again."""
+    rows = _twice(_sliced_stream(p)).select(F.col("event_type").alias("kind"), F.col("event_id").alias("id"), "value")
     out, seen = scratch_dir(p.spark, "metered"), scratch_dir(p.spark, "metrics")
     mark = scratch_dir(p.spark, "metered-checkpoint")
-    streaming.metered_sink(rows, out, seen, mark).awaitTermination()
+    kinds = ["click", "view", "purchase", "signup", "error"]
+    streaming.metered_sink(rows, out, seen, mark, kinds=kinds, buckets=4).awaitTermination()
     return streaming.load_metrics(p.spark, seen)
 
 
+def _messages(p: Projection) -> DataFrame:
+    """Messages of all four kinds with their session; ids tell the kind."""
+    e = F.col("event_id")
+    rows = p.ev.withColumns({
+        "meeting_key": F.col("session_key") + 1000, "date": F.col("ts"), "position": (e % 20 + 1).cast("int"),
+        "gap_to_leader": F.when(e % 10 == 1, "+1 LAP").otherwise((e % 90).cast("string")), "interval": (e % 9).cast("string"),
+    })
+    parts = {
+        "car": p.car_of(p.ev, "event_id"),
+        "position": rows.filter("event_type IN ('click', 'view')"),
+        "intervals": rows.filter("event_type IN ('purchase', 'signup')"),
+        "location": p.location,
+    }
+    out = []
+    for kind, rows in parts.items():
+        payload = streaming.format_records(rows, kind, F.concat(F.lit(kind + " "), "event_id"))
+        out.append(streaming.encode_envelope(payload, kind).select("value"))
+    session = F.get_json_object("value", "$.payload.session_key").cast("int")
+    return reduce(DataFrame.unionByName, out).withColumn("session_key", session)
+
+
+def _live(p: Projection, messages: DataFrame, files: int, **options) -> str:
+    """Messages as text files, as many micro-batches, through the live path."""
+    kept, feed, base, mark = (scratch_dir(p.spark, name) for name in ("live-kept", "live-feed", "live", "live-checkpoint"))
+    messages.write.parquet(kept)
+    messages = p.spark.read.schema("value string, session_key int").parquet(kept).select("session_key", "value")
+    for i in range(files):  # in the order of sessions, which is that of time
+        part = messages.filter(F.expr(f"(session_key - 1) * {files} DIV 10") == i)
+        part.select("value").coalesce(1).write.mode("append").text(feed)
+    stream = streaming.read_stream(p.spark, feed, maxFilesPerTrigger="1")
+    streaming.write_live(stream, base, mark, buckets=4, **options).awaitTermination()
+    return base
+
+
+def _per_kind(p: Projection, base: str) -> DataFrame:
+    """The live tables of all kinds as one, with the number that is particular to each."""
+    own = {"car": "speed", "position": "position", "intervals": "gap_to_leader", "location": "x"}
+    tables = [
+        streaming.read_live(p.spark, base, kind).select(
+            F.lit(kind).alias("kind"), "id", "driver_number", "date", "session_key", "meeting_key", F.col(column).cast("double").alias("value")
+        )
+        for kind, column in own.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _bad_messages(p: Projection) -> DataFrame:
+    """Messages that are cut off, lack their payload, a field, or have fields of the wrong type."""
+    e = F.col("event_id")
+    message = F.format_string(
+        '{"payload": {"id": "%s", "position": %s, "driver_number": %s, "date": "2024-01-01 00:00:00", "session_key": 1, "meeting_key": %s}}',
+        e.cast("string"), F.when(e % 5 == 1, '"first"').otherwise("1"), F.when(e % 5 == 2, "4.5").otherwise("7"),
+        F.when(e % 5 == 3, "3000000000").otherwise("1001"),
+    )
+    text = F.when(e % 7 == 1, F.substring(message, 1, 20)).when(e % 7 == 2, F.lit('{"schema": {}}'))
+    text = text.when(e % 7 == 3, F.lit('{"payload": {"id": "a", "driver_number": 1}}')).otherwise(message)
+    return p.ev.filter("event_type = 'signup'").select("session_key", text.alias("value"))
+
+
+@query
+def live_pipeline(p: Projection) -> DataFrame:
+    """Four kinds of messages through one stream of four micro-batches; some arrive twice, some are bad."""
+    messages = _messages(p)
+    again = messages.filter(F.col("value").contains("0 00:")).withColumn("session_key", F.lit(10))
+    return _per_kind(p, _live(p, reduce(DataFrame.unionByName, [messages, again, _bad_messages(p)]), 4)).filter("driver_number <> 7 OR session_key <> 1 OR date > '2024-01-01 00:00:00'")
+
+
+@query
+def live_rejects(p: Projection) -> DataFrame:
+    base = _live(p, _bad_messages(p), 2)
+    return streaming.read_live_rejects(p.spark, base)
+
+
+@query
+def live_throttle(p: Projection) -> DataFrame:
+    """One throttle per driver over all kinds, in the order of time, kind and id."""
+    busy = p.ev.withColumns({"driver_number": F.col("driver_number") % 3, "ts": F.date_trunc("hour", F.col("ts"))})
+    slow = Projection(p.spark, p.base)
+    slow.__dict__["ev"] = busy  # the same messages from three drivers with coarse times
+    return _per_kind(p, _live(p, _messages(slow), 3, throttle=True)).select("kind", "id", "driver_number", "date")
+
+
+@query
+def rejected_fields(p: Projection) -> DataFrame:
+    """Why messages of one kind are left out, field by field."""
+    return streaming.rejected_messages(_bad_messages(p), "position")
+
+
+@query
+def rejected_numbers(p: Projection) -> DataFrame:
+    """Numbers of raw records that are none."""
+    e = F.col("event_id")
+    raw = p.ev.select(
+        "event_id", "driver_number", F.when(e % 13 == 0, "fast").when(e % 17 == 0, F.lit(None)).otherwise((e % 300).cast("string")).alias("speed"),
+        F.when(e % 19 == 0, "1e99").otherwise((e % 9).cast("string")).alias("rpm"),
+    )
+    return streaming.rejected_numbers(raw, "car")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: oracle.sql(name) for name in QUERIES if name in oracle.CTE}

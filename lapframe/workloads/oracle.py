@@ -417,6 +417,58 @@ SELECT coalesce(s.meeting_key, t.meeting_key) AS meeting_key,
 FROM (SELECT * FROM car WHERE event_type <> 'signup') t
 FULL JOIN (SELECT * FROM car WHERE event_type <> 'click') s
   ON t.event_id = s.event_id"""
+CTE["upsert_table"] = f"""
+WITH old AS (SELECT * FROM car WHERE event_type <> 'signup' AND session_key < 9),
+     new AS (SELECT * FROM car WHERE event_type <> 'click' AND session_key > 4)
+SELECT meeting_key, session_key, driver_number, date, speed + 1 AS speed, rpm,
+       CASE WHEN event_id IN (SELECT event_id FROM old) THEN {_OLD} ELSE {_NEW} END AS created_at,
+       {_NEW} AS updated_at, true AS marked
+FROM new
+UNION ALL
+SELECT meeting_key, session_key, driver_number, date, speed, rpm, {_OLD}, {_OLD}, CAST(NULL AS BOOLEAN)
+FROM old WHERE event_id NOT IN (SELECT event_id FROM new)"""
+CTE["race_control"] = """
+SELECT event_type AS category, ts AS date, CASE WHEN event_id % 3 <> 0 THEN driver_number END AS driver_number,
+       CASE event_id % 4 WHEN 0 THEN 'YELLOW' WHEN 1 THEN 'GREEN' END AS flag,
+       'message ' || (event_id % 50)::VARCHAR AS message, CAST(event_id % 60 AS INTEGER) AS lap_number,
+       (session_key + 1000)::VARCHAR AS meeting_key, 'Track' AS scope, CAST(NULL AS VARCHAR) AS sector, session_key
+FROM ev0"""
+# A message about no driver matches nothing, so both loads bring it; of the others the second changes the flag.
+CTE["upsert_race_control"] = f"""
+SELECT * EXCLUDE (second) REPLACE (CASE WHEN c.category <> 'click' AND driver_number IS NOT NULL OR l.second THEN 'RED' ELSE flag END AS flag),
+       CASE WHEN l.second THEN {_NEW} ELSE {_OLD} END AS created_at,
+       CASE WHEN l.second OR c.category <> 'click' AND driver_number IS NOT NULL THEN {_NEW} ELSE {_OLD} END AS updated_at,
+       CASE WHEN l.second THEN 'load 2' ELSE 'load 1' END AS load_id
+FROM race_control c JOIN (VALUES (false), (true)) AS l(second)
+  ON CASE WHEN l.second THEN c.category <> 'click' AND (c.category = 'signup' OR c.driver_number IS NULL)
+          ELSE c.category <> 'signup' END"""
+CTE["load_counts"] = """
+SELECT 'pit' AS endpoint, session_key, count(*) AS n FROM pit GROUP BY ALL
+UNION ALL SELECT 'intervals', session_key, count(*) FROM intervals GROUP BY ALL
+UNION ALL SELECT 'race_control', session_key, count(*) FROM race_control GROUP BY ALL
+UNION ALL SELECT 'car_data', session_key, count(*) FROM ev0 WHERE event_id % 11 <> 0 GROUP BY ALL
+UNION ALL SELECT DISTINCT 'team_radio', session_key, 1 FROM ev0 WHERE event_type = 'view' AND session_key <> 4"""
+CTE["load_failures"] = """
+SELECT 'weather' AS endpoint, 'ValueError: merge keys missing in weather: [''meeting_key'']' AS reason
+UNION ALL SELECT 'position', 'CheckFailed: range_check(position): ' || count(*) FROM position WHERE position > 15"""
+CTE["load_batch"] = """
+SELECT 'load 2' AS load_id, e.endpoint, meeting_key, session_key,
+       CASE WHEN f.reason IS NOT NULL THEN 'error' WHEN held OR n IS NULL THEN 'skipped' ELSE 'success' END AS status,
+       CASE WHEN f.reason IS NOT NULL THEN f.reason WHEN held THEN 'data_exists' WHEN n IS NULL THEN 'no_data' END AS reason,
+       CASE WHEN f.reason IS NOT NULL OR held OR n IS NULL THEN 0 ELSE n END AS records
+FROM (SELECT DISTINCT endpoint FROM load_counts UNION SELECT endpoint FROM load_failures) e
+CROSS JOIN sessions
+LEFT JOIN load_counts USING (endpoint, session_key)
+LEFT JOIN load_failures f USING (endpoint)
+CROSS JOIN LATERAL (SELECT endpoint = 'pit' AND session_key <= 3 AND n IS NOT NULL AS held)"""
+CTE["load_published"] = f"""
+SELECT endpoint AS name, session_key, n AS records,
+       CASE WHEN endpoint = 'race_control' THEN drivers ELSE n END AS with_driver, 1::BIGINT AS days,
+       CASE WHEN endpoint = 'pit' AND session_key <= 3 THEN {_OLD} ELSE {_NEW} END AS created_at
+FROM load_counts
+LEFT JOIN (SELECT session_key, count(driver_number) AS drivers FROM race_control GROUP BY ALL) USING (session_key)
+UNION ALL SELECT 'pit: malformed JSON', NULL, count(*), NULL, NULL, NULL FROM ev0 WHERE event_id % 97 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'car_data: required field missing', NULL, count(*), NULL, NULL, NULL FROM ev0 WHERE event_id % 11 = 0 HAVING count(*) > 0"""
 CTE["only_new"] = """
 SELECT * FROM car_data
 WHERE (meeting_key, session_key) NOT IN
@@ -493,6 +545,45 @@ SELECT * FROM car_data
 WHERE session_key = 4 AND driver_number = 5 AND date > TIMESTAMP '2024-01-10 06:00:00.200'
   AND date < TIMESTAMP '2024-01-11 06:00:00.200'"""
 CTE["stream_dedup"] = "SELECT * FROM payload_car"
+CTE["stream_dedup_batches"] = "SELECT * FROM payload_car"
+CTE["live_values"] = """
+SELECT 'car' AS kind, event_id, event_id * 13 % 420 AS value FROM ev0
+UNION ALL SELECT 'position', event_id, event_id % 20 + 1 FROM ev0 WHERE event_type IN ('click', 'view')
+UNION ALL SELECT 'intervals', event_id, CASE WHEN event_id % 10 <> 1 THEN event_id % 90 END FROM ev0 WHERE event_type IN ('purchase', 'signup')
+UNION ALL SELECT 'location', event_id, (event_id % 4000) / 4 FROM ev0 WHERE event_type <> 'error'"""
+CTE["live_messages"] = """
+SELECT kind, event_id, kind || ' ' || event_id AS id, session_key, driver_number, live_values.value,
+       CASE WHEN kind = 'location' THEN ts + to_seconds(event_id % 600) ELSE ts END AS happened
+FROM live_values JOIN ev0 USING (event_id)"""
+CTE["live_pipeline"] = """
+SELECT kind, id, driver_number, strftime(happened, '%Y-%m-%d %H:%M:%S') AS date, session_key, session_key + 1000 AS meeting_key,
+       value::DOUBLE AS value
+FROM live_messages"""
+CTE["live_throttle"] = """
+SELECT kind, id, driver_number % 3 AS driver_number, strftime(slow, '%Y-%m-%d %H:%M:%S') AS date
+FROM (SELECT *, date_trunc('hour', ts) + (happened - ts) AS slow FROM live_messages JOIN (SELECT event_id, ts FROM ev0) USING (event_id))
+QUALIFY date_trunc('second', slow) IS DISTINCT FROM
+        lag(date_trunc('second', slow)) OVER (PARTITION BY driver_number % 3, (session_key - 1) * 3 // 10 ORDER BY slow, id)"""
+CTE["bad_messages"] = """
+SELECT event_id, event_id % 7 AS cut, event_id % 5 AS fault,
+       '{"payload": {"id": "' || event_id || '", "position": ' || CASE WHEN event_id % 5 = 1 THEN '"first"' ELSE '1' END
+       || ', "driver_number": ' || CASE WHEN event_id % 5 = 2 THEN '4.5' ELSE '7' END
+       || ', "date": "2024-01-01 00:00:00", "session_key": 1, "meeting_key": '
+       || CASE WHEN event_id % 5 = 3 THEN '3000000000' ELSE '1001' END || '}}' AS message
+FROM ev0 WHERE event_type = 'signup'"""
+CTE["rejected_fields"] = """
+SELECT CASE cut WHEN 1 THEN left(message, 20) WHEN 2 THEN '{"schema": {}}' ELSE message END AS record,
+       CASE WHEN cut = 1 THEN 'malformed JSON' WHEN cut = 2 THEN 'no payload'
+            WHEN fault = 1 THEN 'position: int wanted, found STRING'
+            WHEN fault = 2 THEN 'driver_number: int wanted, found DECIMAL(2,1)'
+            WHEN fault = 3 THEN 'meeting_key: int wanted, found BIGINT' END AS reason
+FROM bad_messages WHERE cut IN (1, 2) OR cut <> 3 AND fault IN (1, 2, 3)"""
+CTE["live_rejects"] = """
+SELECT * FROM rejected_fields
+UNION ALL SELECT '{"payload": {"id": "a", "driver_number": 1}}', 'no kind' FROM bad_messages WHERE cut = 3"""
+CTE["rejected_numbers"] = """
+SELECT 'speed' AS field, 'fast' AS value FROM ev0 WHERE event_id % 13 = 0
+UNION ALL SELECT 'rpm', '1e99' FROM ev0 WHERE event_id % 19 = 0"""
 CTE["stream_throttle"] = """
 SELECT event_id, driver_number, date
 FROM (SELECT event_id, driver_number % 3 AS driver_number, date_trunc('hour', ts) AS date FROM ev0)

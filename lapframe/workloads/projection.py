@@ -243,3 +243,42 @@ class Projection:
                 (g * 5 % 30).alias("tyre_age_at_start"),
             )
         )
+
+    @cached_property
+    def race_control(self) -> DataFrame:
+        """Messages, a third of them about no driver."""
+        e = F.col("event_id")
+        return self.ev.select(
+            F.col("event_type").alias("category"),
+            F.col("ts").alias("date"),
+            F.when(e % 3 != 0, F.col("driver_number")).alias("driver_number"),
+            F.when(e % 4 == 0, "YELLOW").when(e % 4 == 1, "GREEN").alias("flag"),
+            F.concat(F.lit("message "), (e % 50).cast("string")).alias("message"),
+            (e % 60).cast("int").alias("lap_number"),
+            (F.col("session_key") + 1000).cast("string").alias("meeting_key"),
+            F.lit("Track").alias("scope"),
+            F.lit(None).cast("string").alias("sector"),
+            "session_key",
+        )
+
+    @cached_property
+    def team_radio(self) -> DataFrame:
+        return self.ev.filter("event_type = 'view'").select(
+            self.meeting,
+            *K2,
+            F.col("ts").alias("date"),
+            F.concat(F.lit("radio/"), F.col("event_id").cast("string")).alias("recording_url"),
+        )
+
+    @cached_property
+    def location(self) -> DataFrame:
+        e = F.col("event_id")
+        return self.ev.filter("event_type <> 'error'").select(
+            "event_id",
+            ((e % 4000) / 4).cast("float").alias("x"),
+            ((e % 900) / 2 - 100).cast("float").alias("y"),
+            (e % 7).cast("float").alias("z"),
+            *K2,
+            self.meeting,
+            self.later.alias("date"),
+        )

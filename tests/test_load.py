@@ -193,6 +193,72 @@ def test_upsert_reads_touched_partitions_only(spark, frame, tmp_path):
     assert rows(touched, "session_key") == [(1,)]
 
 
+def test_columns_of_the_batch_alone(spark, frame, tmp_path):
+    source = frame([(1, 10, 50, True), (2, 1, 1, False)], "s int, d int, v int, seen boolean")
+    with pytest.raises(ValueError, match=r"columns missing in target: \['seen'\]"):
+        sinks.merge_upsert(_target(frame), source, ["s", "d"])
+    got = sinks.merge_upsert(_target(frame), source, ["s", "d"], now=at(NEW), new_columns="add")
+    assert rows(got, "s", "d", "v", "seen") == [(1, 10, 50, True), (1, 11, 6, None), (2, 1, 1, False), (None, 12, 7, None)]
+    path, keys = str(tmp_path / "t"), ["session_key", "d"]
+    sinks.upsert_table(spark, path, frame([(1, 1, 1), (2, 1, 1)], "session_key int, d int, v int"), keys)
+    sinks.upsert_table(spark, path, frame([(1, 1, 2, "x")], "session_key int, d int, v int, w string"), keys, new_columns="add")
+    grown = spark.read.option("mergeSchema", "true").parquet(path)
+    assert rows(grown, "session_key", "v", "w") == [(1, 2, "x"), (2, 1, None)]
+
+
+def test_rows_without_a_whole_key_come_once_per_load(spark, frame, tmp_path):
+    path, keys, ddl = str(tmp_path / "t"), ["session_key", "d"], "session_key int, d int, v int"
+    first = frame([(1, None, 1), (1, 7, 1), (2, None, 1), (2, None, 1)], ddl)
+    second = frame([(1, None, 2), (1, 7, 2), (2, None, 2), (3, 8, 2), (3, 8, 3)], ddl)
+    sinks.upsert_table(spark, path, first, keys, now=at(OLD), load_id="a")
+    # stopped half way, then run whole, then run again
+    for part in (second.filter("session_key = 1"), second, second):
+        sinks.upsert_table(spark, path, part, keys, now=at(NEW), load_id="b")
+    want = [(1, 7, 2, "a"), (1, None, 1, "a"), (1, None, 2, "b"), (2, None, 1, "a"), (2, None, 1, "a"), (2, None, 2, "b"), (3, 8, 2, "b"), (3, 8, 3, "b")]
+    got = spark.read.parquet(path)
+    assert rows(got, "session_key", "d", "v", "load_id") == sorted(want, key=repr)
+    assert rows(got.filter("d = 7"), F.date_format("created_at", "d"), F.date_format("updated_at", "d")) == [("1", "2")]
+
+
+def _lines(spark, *records):
+    return spark.createDataFrame([(r if isinstance(r, str) else json.dumps(r),) for r in records], "value string")
+
+
+def test_one_table_fails_and_the_others_are_published(spark, frame, tmp_path):
+    base, sessions = str(tmp_path / "raw"), frame([(9, k) for k in (1, 2, 3)], "meeting_key int, session_key int")
+    pit = {"DATE": "2024-01-01T00:00:00", "DRIVER_NUMBER": 4, "MEETING_KEY": 9, "LAP_NUMBER": 1, "PIT_DURATION": 2.5}
+    landed = {
+        "pit": _lines(spark, "not json", [{**pit, "SESSION_KEY": 1}, 5, {**pit, "SESSION_KEY": 2}], {**pit, "SESSION_KEY": 8}),
+        "weather": _lines(spark, {"session_key": 1, "date": "2024-01-01T00:00:00"}),
+        "car_data": _lines(spark, {"meeting_key": 9, "session_key": 1, "driver_number": None, "date": "2024-01-01T00:00:00"}, {"session_key": 1}),
+        "position": _lines(spark, {"meeting_key": 9, "session_key": 1, "driver_number": 4, "date": "2024-01-01T00:00:00", "position": 99}),
+        "starting_grid": _lines(spark, {"meeting_key": 9, "session_key": 3, "slot": "first", "since_date": "2024-01-01"}),
+    }
+    checks = {"position": [range_check("position", 1, 20)]}
+    report = sinks.load_batch(spark, base, landed, sessions, "2024-01-02", "one", checks, now=at(NEW))
+    want = {
+        ("pit", 1, "success", None, 1), ("pit", 2, "success", None, 1), ("pit", 3, "skipped", "no_data", 0),
+        *{("weather", k, "error", "ValueError: merge keys missing in weather: ['meeting_key']", 0) for k in (1, 2, 3)},
+        *{("car_data", k, "skipped", "no_data", 0) for k in (1, 2, 3)},
+        *{("position", k, "error", "CheckFailed: range_check(position): 1", 0) for k in (1, 2, 3)},
+        ("starting_grid", 3, "success", None, 1), *{("starting_grid", k, "skipped", "no_data", 0) for k in (1, 2)},
+    }
+    assert set(rows(report, "endpoint", "session_key", "status", "reason", "records")) == want
+    # session 8 was not asked for; names are lower-case, rows are stamped
+    got = spark.read.parquet(f"{base}/pit")
+    assert rows(got, "session_key", "pit_duration", F.date_format("processed_date", "d"), F.date_format("created_at", "d")) == [(1, 2.5, "2", "2"), (2, 2.5, "2", "2")]
+    assert rows(sinks.read_rejects(spark, base, "one"), "endpoint", "reason") == [
+        ("car_data", "required field missing"), ("car_data", "required field missing"), ("pit", "malformed JSON")]
+    assert not (tmp_path / "raw" / "position").exists() and not list((tmp_path / "raw" / "_staging").iterdir())
+    # the same load again changes nothing; another load skips what is there
+    again = sinks.load_batch(spark, base, {"pit": landed["pit"]}, sessions, "2024-01-02", "one", now=at(NEW))
+    assert set(rows(again.filter("endpoint = 'pit'"), "session_key", "status")) == {(1, "success"), (2, "success"), (3, "skipped")}
+    later = sinks.load_batch(spark, base, {"pit": landed["pit"]}, sessions, "2024-01-03", "two", now=at(NEW))
+    assert set(rows(later, "session_key", "reason")) == {(1, "data_exists"), (2, "data_exists"), (3, "no_data")}
+    assert spark.read.parquet(f"{base}/pit").count() == 2
+    assert sinks.read_ledger(spark, base).count() == 15 + 3
+
+
 def test_publish_only_checked_data(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     good = frame([(1, 5), (2, 6)], "session_key int, v int")
