@@ -178,8 +178,10 @@ def training_sets(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
         .toArrow()
         .sort_by("doc_id")
     )
-    sets = [np.array(x, np.int64) for x in rows["terms"].to_pylist()]
-    return sets, np.array(rows["toxic"].to_pylist(), np.int64)
+    # slices of one array: lists of Python numbers would take many times the memory of the driver
+    terms_of = rows["terms"].combine_chunks()
+    flat, ends = terms_of.flatten().to_numpy(), np.cumsum(terms_of.value_lengths().to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1].astype(np.int64)) if len(ends) else [], rows["toxic"].to_numpy().astype(np.int64)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
