@@ -30,7 +30,7 @@ SUPPORT = 5
 
 
 def _words(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, rf"^[{BLANKS}]++|[{BLANKS}]++$", "")
+    trimmed = F.regexp_replace(text, rf"^[{BLANKS}]++|[{BLANKS}]++\z", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, rf"[{BLANKS}]++"))
 
 

@@ -85,3 +85,10 @@ def test_without_labels_nothing_is_learned(spark, frame):
 def test_no_python_in_the_plan(spark):
     plan = quality.statistics(read_table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_separators_that_are_no_blanks_end_a_text(spark):
+    texts = ["a b \u2028", "x \u2029", "y \u0085", "z\u2028 ", "\u0085", " \n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.word_chars) for r in quality.statistics(df).collect()}
+    assert got == {0: (3, 3), 1: (2, 2), 2: (2, 2), 3: (1, 2), 4: (1, 1), 5: (0, 0)}
