@@ -36,14 +36,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_files(docs: DataFrame) -> DataFrame:
-    """``doc_id, path, text``: documents as files below a folder per source, a hundred to a folder."""
-    place = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100) % 10, F.col("doc_id"))
+    """``doc_id, path, text``: documents as files below a folder per source, a hundred to a folder.
+
+    A slash in a source is no folder; documents without an id lie in ``none`` of their source.
+    """
+    part = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
+    number = F.col("doc_id")
+    place = F.concat_ws("/", F.translate(part(F.col("source")), "/", "_"), part(F.floor(number / 1000)), part(F.floor(number / 100) % 10), part(number))
     return docs.select("doc_id", place.alias("path"), "text")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(as_files(read_table(spark, sf_dir, "documents")))
-    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).cast("bigint"))
+    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).try_cast("bigint"))
 
 
 # As even as a fourfold repetition of the rarest source allows.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lapframe.llm import licenses
 from lapframe.llm.common import read_table
-from lapframe.llm.workload import as_files
+from lapframe.llm.workload import as_files, op2_license_scan
 
 SF = "/root/testdata/sf0.01"
 
@@ -85,3 +85,11 @@ def test_inheritance_and_odd_rows(spark, frame):
     assert got["a/b/x.py"].license == "Apache-2.0" and got["a/b/y.py"].own_license == "GPL"
     assert got["c/z.py"].license == "MIT" and got["c/z.py"].from_dir == ""
     assert licenses.scan(files.filter(F.lit(False))).collect() == []
+
+
+def test_query_takes_documents_without_an_id_or_with_odd_sources(spark, tmp_path):
+    rows = [(None, "Released under the MIT License.", "a/b"), (7, "plain text", "a/b"), (8, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = op2_license_scan(spark, str(tmp_path))
+    assert sorted(((r.doc_id, r.path) for r in got.collect()), key=repr) == [
+        (7, "a_b/0/0/7"), (8, "none/0/0/8"), (None, "a_b/none/none/none")]
