@@ -24,13 +24,13 @@ def fill_forward(
     columns: Mapping[str, str],
     keys: Sequence[str],
     order: Sequence[str],
-    part: Column | None = None,
+    part: Column | Sequence[Column] | None = None,
     threshold: int | None = None,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per ``output: input``, the last non-null input at or before each row of its key.
 
-    ``part`` (non-decreasing in the first order column) splits hot keys: the last value of each part
+    ``part`` (non-decreasing in the first order column, or one per order column) splits hot keys: the last value of each part
     is found by a partial aggregate, carried over the parts, and used where a part has none yet.
     ``sizes`` is a cheaper table to find hot keys in.
     """
@@ -77,7 +77,7 @@ def previous_value(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    part: Column | None = None,
+    part: Column | Sequence[Column] | None = None,
     threshold: int | None = None,
 ) -> DataFrame:
     """``lag(column)`` per key, with hot keys split like in :func:`fill_forward`.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapframe.functions.expr import seconds_between
+from lapframe.operators.keys import HotKeys, find_hot_keys
 from lapframe.operators.ranking import numbered
 
 _BUCKET = "__bucket"
@@ -28,12 +29,14 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.floor(F.col(column)).cast("long")
 
 
-def _bucket(position: Column, width: int) -> Column:
+def _bucket(position: Column, width: int | None) -> Column:
+    if width is None:  # the key alone
+        return F.lit(0).cast("long")
     return ((position - F.pmod(position, F.lit(width))) / F.lit(width)).cast("long")
 
 
 def _span_cells(
-    spans: DataFrame, lo: str, hi: str, widths: Sequence[int], outer: bool
+    spans: DataFrame, lo: str, hi: str, widths: Sequence[int | None], outer: bool
 ) -> DataFrame:
     """Spans once per bucket they cover, at the first width that gives few buckets."""
     first, last = _position(spans, lo), _position(spans, hi)
@@ -52,7 +55,7 @@ def _span_cells(
     return leveled.select("*", generate(covered).alias(_CELL, _BUCKET))
 
 
-def _point_cells(points: DataFrame, at: str, widths: Sequence[int]) -> DataFrame:
+def _point_cells(points: DataFrame, at: str, widths: Sequence[int | None]) -> DataFrame:
     """Points once per width."""
     where = _position(points, at)
     marked = points.filter(F.col(at).isNotNull())
@@ -74,7 +77,7 @@ def interval_join(
     at: str,
     lo: str,
     hi: str,
-    widths: Sequence[int] = (600,),
+    widths: Sequence[int | None] = (600,),
 ) -> DataFrame:
     """Inner join of points to spans of the same key with ``lo <= at <= hi``.
 
@@ -82,7 +85,8 @@ def interval_join(
     buckets and only pairs that share one are compared. A point has one bucket per width and a span
     one width, hence no pair is found twice. ``widths`` (ascending, in seconds or in units of the
     column) are tried in order; the last one takes every longer span, so the result is complete for
-    any width and only the cost depends on it.
+    any width and only the cost depends on it. A last width of None matches on the key alone: then no
+    span is ever listed in more than a few buckets, however wrong its bounds.
     """
     return (
         _point_cells(points, at, widths)
@@ -99,7 +103,7 @@ def interval_matches(
     at: str,
     lo: str,
     hi: str,
-    widths: Sequence[int] = (600,),
+    widths: Sequence[int | None] = (600,),
 ) -> DataFrame:
     """Pairs of :func:`interval_join` for grouping by span, with every span kept.
 
@@ -129,7 +133,7 @@ def nearest_event_in_interval(
     lo: str = "date_start",
     hi: str = "date_end",
     tie_breakers: Sequence[str] = (),
-    widths: Sequence[int] = (600,),
+    widths: Sequence[int | None] = (600,),
     threshold: int | None = None,
 ) -> DataFrame:
     """Events inside each span with their distance and rank from its start and from its end.
@@ -138,6 +142,7 @@ def nearest_event_in_interval(
     ``end_position_rank`` per (keys, span_key). Both ranks share one exchange; groups of large keys are numbered by parts of
     the distance.
     """
+    hot = _large_groups(events, spans, keys, span_key, at, lo, hi, widths, threshold)
     pairs = interval_join(events, spans, keys, at, lo, hi, widths).withColumns(
         {
             "start_time_diff": F.abs(seconds_between(at, lo)),
@@ -145,19 +150,52 @@ def nearest_event_in_interval(
         }
     )
     for side in ("start", "end"):
-        # a span has no more events than its key, so counting events by key finds every large group
         distance = f"{side}_time_diff"
-        pairs = numbered(
-            pairs, [*keys, span_key], [distance, *tie_breakers], f"{side}_position_rank",
-            part=F.floor(F.col(distance) / 16), threshold=threshold, sizes=events, size_keys=keys,
-        )
+        part = F.floor(F.col(distance) / 16) if hot else None
+        pairs = numbered(pairs, [*keys, span_key], [distance, *tie_breakers], f"{side}_position_rank", part=part, hot=hot)
     return pairs
 
 
+def pair_counts(
+    points: DataFrame, spans: DataFrame, keys: Sequence[str], group: Sequence[str], at: str, lo: str, hi: str,
+    widths: Sequence[int | None],
+) -> DataFrame:
+    """Pairs per (keys, group) that share a bucket, as ``__n``: points times spans of each bucket, summed up.
+
+    No pair is built. The count is what :func:`interval_join` compares, so at least what it returns.
+    """
+    cell = [*keys, _LEVEL, _BUCKET]
+    here = _point_cells(points.select(*keys, at), at, widths).groupBy(*cell).agg(F.count(F.lit(1)).alias("__p"))
+    over = _span_cells(spans.select(*keys, *group, lo, hi), lo, hi, widths, outer=False).groupBy(*cell, *group)
+    return over.agg(F.count(F.lit(1)).alias("__s")).join(here, cell).groupBy(*keys, *group).agg(F.sum(F.col("__p") * F.col("__s")).alias("__n"))
+
+
+def _large_groups(
+    events: DataFrame, spans: DataFrame, keys: Sequence[str], span_key: str, at: str, lo: str, hi: str,
+    widths: Sequence[int | None], threshold: int | None,
+) -> HotKeys | None:
+    """Groups (keys, span_key) with many pairs, those without a span_key too.
+
+    First events per key times spans per group, a bound that needs two counts; only keys beyond it are
+    counted bucket by bucket.
+    """
+    group = [*keys, span_key]
+    per_key = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("__p"))
+    per_group = spans.groupBy(*group).agg(F.count(F.lit(1)).alias("__s"))
+    most = per_group.join(per_key, list(keys)).select(*group, (F.col("__p") * F.col("__s")).alias("__n"))
+    suspect = find_hot_keys(most, keys, threshold, "__n")
+    if suspect is None:
+        return None
+    if not suspect.many:
+        few = F.broadcast(events.sparkSession.createDataFrame(suspect.found, suspect.schema))  # <= MAX_HOT_KEYS rows
+        events, spans = (df.join(few, list(keys), "left_semi") for df in (events, spans))
+    return find_hot_keys(pair_counts(events, spans, keys, [span_key], at, lo, hi, widths), group, threshold, "__n")
+
+
 # Nodes of the time tree are 2**level seconds long; level -1 holds points exactly on a second.
 _TOP = 22
-# A tree of at most this many rows (some 150 bytes each) is broadcast.
-TREE_ROWS = 1_000_000
+# Up to this level nodes are made from seconds; longer ones are made from the nodes of this level.
+_MIDDLE = 7
 
 
 def range_aggregate(
@@ -168,7 +206,6 @@ def range_aggregate(
     lo: str,
     hi: str,
     measures: Mapping[str, tuple[str, str]],
-    broadcast_rows: int = TREE_ROWS,
 ) -> DataFrame:
     """Aggregate the points with ``lo <= at <= hi`` for every distinct span (a left join).
 
@@ -178,9 +215,8 @@ def range_aggregate(
     Listing the matching pairs would grow with spans times points per key. Instead points are summed
     up per second and then per 2, 4, 8 ... seconds, and a span is cut into the few such nodes
     that tile it, about one per doubling of its length. The tree's size follows the length of the
-    timeline, not the number of points, and the join has one row per node on the tree side. A
-    tree counted to be small is broadcast, so that a span's nodes are found and added up where it
-    is; a larger one is joined by shuffling on the node.
+    timeline, not the number of points, and the join has one row per node on the tree side. Adaptive
+    execution broadcasts the tree once it has turned out small enough.
     """
     merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     leaf = {**merge, "count": F.count}
@@ -194,15 +230,17 @@ def range_aggregate(
         .groupBy(*keys, "__second", "__exact")
         .agg(*[leaf[how](column).alias(out) for out, (column, how) in measures.items()])
     )
+
+    def nodes(parts: DataFrame, levels: Column) -> DataFrame:
+        placed = parts.withColumn(_LEVEL, F.explode(levels)).withColumn(_BUCKET, _down(F.col("__second"), F.col(_LEVEL)))
+        return placed.groupBy(*node).agg(*[merge[how](out).alias(out) for out, (_, how) in measures.items()])
+
     lowest = F.when(F.col("__exact"), -1).otherwise(0)
-    tree = (
-        leaves.withColumn(_LEVEL, F.explode(F.sequence(lowest, F.lit(_TOP))))
-        .withColumn(_BUCKET, _down(F.col("__second"), F.col(_LEVEL)))
-        .groupBy(*node)
-        .agg(*[merge[how](out).alias(out) for out, (_, how) in measures.items()])
+    # both ends of the tree read the seconds through one exchange; the upper one starts from few nodes
+    middle = leaves.groupBy(*keys, F.shiftleft(_down(F.col("__second"), F.lit(_MIDDLE)), _MIDDLE).alias("__second")).agg(
+        *[merge[how](out).alias(out) for out, (_, how) in measures.items()]
     )
-    if tree.count() <= broadcast_rows:
-        tree = F.broadcast(tree)
+    tree = nodes(leaves, F.sequence(lowest, F.lit(_MIDDLE))).unionByName(nodes(middle, F.sequence(F.lit(_MIDDLE + 1), F.lit(_TOP))))
 
     a, b = F.col("__a"), F.col("__b")
     # no node is longer than the span; a span that cannot hold any point gets no level at all

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lapframe.functions.expr import nulls_high
 from lapframe.operators.keys import (
     PART,
+    HotKeys,
     attach_parts,
     same_keys,
     split_hot_keys,
@@ -46,21 +47,21 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    part: Column | None = None,
+    part: Column | Sequence[Column] | None = None,
     threshold: int | None = None,
     sizes: DataFrame | None = None,
-    size_keys: Sequence[str] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """``row_number()`` per key, ascending, that also works when one key is very large.
 
     ``part`` must be a non-decreasing function of the first order column, for example the time cut
-    to the minute. Rows of hot keys are numbered inside (key, part) and shifted by the number of
+    to the minute, or one per order column: rows without a time are then cut by the next. Rows of hot keys are numbered inside (key, part) and shifted by the number of
     rows in earlier parts, so no task gets a whole hot key; other keys use one window as usual.
-    ``sizes`` and ``size_keys`` say where to count rows per key, by default in ``df``.
+    ``sizes`` says where to count rows per key, by default in ``df``; ``hot`` gives the large keys.
     """
     ordering = _order(order)
     split = (
-        None if part is None else split_hot_keys(df, keys, part, threshold, sizes, size_keys)
+        None if part is None else split_hot_keys(df, keys, part, threshold, sizes, hot)
     )
     if split is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)))

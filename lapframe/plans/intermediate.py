@@ -97,12 +97,13 @@ STINT = [*K2, "stint_number", "compound", "lap_start", "lap_end"]
 def stint_spans(stints: DataFrame, laps: DataFrame, width: int = 16) -> DataFrame:
     """Start of the first and of the last lap of each stint.
 
-    Stints without laps are kept. ``width`` is the number of laps per bucket.
+    Stints without laps are kept. ``width`` is the number of laps per bucket; a stint over many
+    buckets, as from a wrong ``lap_end``, is matched on its driver alone.
     """
     starts = laps.select(*K2, "lap_number", "date_start")
     return (
         interval_matches(
-            stints.select(*STINT), starts, K2, "lap_number", "lap_start", "lap_end", [width]
+            stints.select(*STINT), starts, K2, "lap_number", "lap_start", "lap_end", [width, None]
         )
         .groupBy(*STINT)
         .agg(F.min("date_start").alias("stint_start_time"), F.max("date_start").alias("stint_end_time"))

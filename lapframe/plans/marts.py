@@ -124,7 +124,8 @@ def historical_race_analysis(
     else the first recorded one. ``sizes`` may name the laps, to count large keys without building the
     metrics twice.
     """
-    part = F.floor(F.col("lap_number") / F.lit(laps_per_part))
+    # laps without a number come last, cut by the day they start on
+    part = [F.floor(F.col("lap_number") / F.lit(laps_per_part)), F.date_trunc("day", "date_start")]
     filled = fill_forward(
         metrics,
         {"__start": "start_position", "__end": "end_position"},

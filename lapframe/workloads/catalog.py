@@ -351,6 +351,14 @@ def table_layout(p: Projection) -> DataFrame:
     return p.spark.read.schema(p.laps.schema).parquet(path)
 
 
+@query
+def point_lookup(p: Projection) -> DataFrame:
+    """One driver of a table that is laid out by session and time."""
+    path = scratch_dir(p.spark, "by-time")
+    sinks.write_table(p.car_data, path, ["session_key"], ["date"], look_up_by=["driver_number"])
+    return p.spark.read.schema(p.car_data.schema).parquet(path).filter("driver_number = 55")
+
+
 # ---- live path ----
 def _car_payload(p: Projection, ev: DataFrame) -> DataFrame:
     return streaming.format_records(p.car_of(ev, "event_id"), "car", F.col("event_id"))

@@ -516,6 +516,7 @@ CTE["read_records"] = "SELECT event_id, ts AS date, event_type, value FROM event
 CTE["rejected_records"] = """
 SELECT '{"event_id' AS record, 'malformed JSON' AS reason FROM events WHERE event_id % 7 = 0"""
 CTE["staged_publish"] = "SELECT * FROM position"
+CTE["point_lookup"] = "SELECT * FROM car_data WHERE driver_number = 55"
 CTE["table_layout"] = "SELECT * FROM laps"
 
 # ---- live path ----

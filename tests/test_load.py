@@ -288,3 +288,35 @@ def test_load_report(frame):
 def test_declared_schemas_use_wide_numbers():
     kinds = {f.dataType.simpleString() for s in RAW.values() for f in s.fields}
     assert "float" not in kinds
+
+
+def _rows_read(df):
+    """Rows that the scan of an executed plan gave out."""
+    df.collect()
+    scans, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan parquet"):
+            scans.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sum(scans)
+
+
+def test_a_look_up_skips_row_groups(spark, tmp_path):
+    # four files, each with every seventh number, in no order and without a dictionary
+    df = spark.range(40_000, numPartitions=4).select((F.pmod(F.xxhash64("id"), F.lit(100_000)) * 7).cast("int").alias("driver_number"), "id")
+    wanted = df.first()["driver_number"]
+    spark.conf.set("parquet.enable.dictionary", "false")
+    try:
+        for name, by in (("plain", []), ("filtered", ["driver_number"])):
+            sinks.write_table(df, str(tmp_path / name), [], ["id"], look_up_by=by)
+    finally:
+        spark.conf.unset("parquet.enable.dictionary")
+    for name, read in (("plain", 40_000), ("filtered", 0)):
+        table = spark.read.parquet(str(tmp_path / name))
+        assert table.filter(F.col("driver_number") == wanted).count() == df.filter(F.col("driver_number") == wanted).count() > 0
+        # a number that no file has, though it lies between the least and the greatest of each
+        assert _rows_read(table.filter(f"driver_number = {7 * 50_000 + 3}")) == read

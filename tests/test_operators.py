@@ -25,6 +25,8 @@ from lapframe.operators import (
     range_aggregate,
     sustained_burst,
 )
+from lapframe.operators import intervals
+from lapframe.operators.keys import split_hot_keys
 
 DAY = 1_704_067_200  # 2024-01-01 UTC
 
@@ -185,8 +187,8 @@ def test_interval_join_on_numbers(frame):
     assert rows(got.groupBy("lo").count()) == [(1, 9), (10, 1), (11, 19)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
-def test_range_aggregate_matches_the_join(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_range_aggregate_matches_the_join(spark, broadcast):
     points, spans = _timeline(spark, 5, 400, 80, whole=True)
     inside = (F.col("at") >= F.col("lo")) & (F.col("at") <= F.col("hi"))
     right = points.withColumnRenamed("k", "pk")
@@ -197,8 +199,22 @@ def test_range_aggregate_matches_the_join(spark, broadcast_rows):
         )
     )
     measures = {"total": ("x", "sum"), "n": ("x", "count"), "low": ("x", "min"), "high": ("x", "max")}
-    got = range_aggregate(spans, points, ["k"], "at", "lo", "hi", measures, broadcast_rows)
-    assert rows(got, "k", "sid", "total", "n", "low", "high") == expected
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = range_aggregate(spans, points, ["k"], "at", "lo", "hi", measures)
+        assert rows(got, "k", "sid", "total", "n", "low", "high") == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_time_tree_is_built_once_by_one_scan_of_the_points(spark, tmp_path):
+    points, spans = _timeline(spark, 30, 50, 400_000, whole=True)
+    points.write.parquet(str(tmp_path / "p"))
+    got = range_aggregate(spans, spark.read.parquet(str(tmp_path / "p")), ["k"], "at", "lo", "hi", {"n": ("x", "count")})
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
 
 
 def test_range_aggregate_refuses_fractions(spark):
@@ -236,6 +252,53 @@ def test_nearest_event_ranks_of_large_groups(spark, threshold):
     assert got.count() > 150
 
 
+def test_laps_that_share_a_number_are_split(spark, monkeypatch):
+    # 10 events and 50 laps over the whole time, all without a number: 500 pairs in one group
+    e = spark.range(10).select(F.lit(1).alias("k"), F.col("id"), F.timestamp_seconds(F.col("id") * 30 + DAY).alias("date"))
+    s = spark.range(50).select(
+        F.lit(1).alias("k"), F.lit(None).cast("int").alias("lap"), F.timestamp_seconds(F.lit(DAY) - F.col("id")).alias("date_start"),
+        F.timestamp_seconds(F.lit(DAY + 300)).alias("date_end"),
+    )
+    few = s.limit(2).withColumn("lap", F.lit(7))
+    sizes = intervals.pair_counts(e, s.unionByName(few), ["k"], ["lap"], "date", "date_start", "date_end", (60, None))
+    assert rows(sizes, "lap", "__n") == [(7, 20), (None, 500)]
+    asked = []
+    real = intervals.numbered
+    monkeypatch.setattr(intervals, "numbered", lambda *a, **k: asked.append(k["hot"]) or real(*a, **k))
+    got = nearest_event_in_interval(e, s.unionByName(few), ["k"], "lap", tie_breakers=["date", "id"], threshold=100)
+    assert [[tuple(r) for r in hot.found] for hot in asked] == [[(1, None)]] * 2
+    assert rows(got.filter("lap IS NULL"), "start_position_rank") == sorted([(i,) for i in range(1, 501)], key=repr)
+    nearest_event_in_interval(e, few, ["k"], "lap", threshold=100)
+    assert asked[2:] == [None, None]
+
+
+def test_wrong_bounds_are_not_listed(spark):
+    stints = spark.createDataFrame([(1, 1, 3), (1, 2, 2_000_000_000), (1, -2_000_000_000, 2), (1, 9, 4)], "k int, lo int, hi int")
+    laps = spark.createDataFrame([(1, i) for i in range(1, 50)] + [(1, None)], "k int, lap int")
+    cells = intervals._span_cells(stints, "lo", "hi", [4, None], outer=True)
+    assert cells.count() == 1 + 1 + 1 + 1
+    got = interval_join(laps, stints, ["k"], "lap", "lo", "hi", [4, None])
+    assert rows(got.groupBy("lo").count()) == sorted([(1, 3), (2, 48), (-2_000_000_000, 2)], key=repr)
+    kept = interval_matches(stints, laps, ["k"], "lap", "lo", "hi", [4, None]).groupBy("lo", "hi").agg(F.count("lap").alias("n"))
+    assert rows(kept, "lo", "n") == sorted([(1, 3), (2, 48), (-2_000_000_000, 2), (9, 0)], key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_rows_without_a_time_are_split_too(spark, parts):
+    rnd = random.Random(6)
+    data = [("a", None, i, rnd.choice([None, 1, 2])) for i in range(60)] + [("a", None, None, 5)] + [("a", t, 100 + t, t) for t in range(5)]
+    df = spark.createDataFrame(data, "k string, t int, id int, v int")
+    cut = [F.floor(F.col("t") / 2), F.floor(F.col("id") / 9)][:parts]
+    split = split_hot_keys(df, ["k"], cut, 1)
+    largest = max(n for _, n in rows(split.groupBy("__part").count()))
+    assert largest == (61 if parts == 1 else 9)
+    window = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
+    expected = rows(df.select("id", F.row_number().over(window), F.last("v", True).over(window.rowsBetween(Window.unboundedPreceding, 0)), F.lag("v").over(window)))
+    out = numbered(df, ["k"], ["t", "id"], "rn", cut, 1)
+    out = previous_value(fill_forward(out, {"f": "v"}, ["k"], ["t", "id"], cut, 1), "v", ["k"], ["t", "id"], "p", cut, 1)
+    assert rows(out, "id", "rn", "f", "p") == expected
+
+
 @pytest.mark.parametrize("keys", [(), ("k",)])
 def test_burst_matches_a_window_over_everything(spark, keys):
     rnd = random.Random(2)
