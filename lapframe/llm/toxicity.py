@@ -24,10 +24,14 @@ from lapframe.llm.common import id_and_text, id_fold
 HASH_BITS = 26
 # Labelled documents that the machine is fitted on, chosen by a hash of their ids.
 SAMPLE_ROWS = 8_000
-# Terms that get a weight: those whose presence differs most between the labels.
+# Terms that get a weight for their own sake: those whose presence differs most between the labels.
 MAX_TERMS = 512
 # Least number of standard errors between the shares of toxic and other documents with a term.
 LEAST_Z = 5.0
+# Terms, by frequency, whose pairs are tested; pairs that matter beyond their terms; standard errors for that.
+PAIR_TERMS = 512
+MAX_PAIRS = 64
+LEAST_PAIR_Z = 6.0
 FACTORS = 8
 STEPS = 600
 # Words whose terms are kept per Python worker; the store starts anew when it is full.
@@ -95,6 +99,37 @@ def _distinct(sets: list[np.ndarray], labels: np.ndarray) -> list[int]:
     return list(first.values())
 
 
+def _telling_pairs(sets: list[np.ndarray], labels: np.ndarray, counts: Counter) -> list[tuple[int, int]]:
+    """Pairs of frequent terms whose presence together says more or less than both alone.
+
+    The contrast is p11 - p10 - p01 + p00 of the label's shares among documents with both terms, one, the
+    other and neither; each of the four must be at least five documents. Terms that are neutral alone
+    are found here, such as two that are harmless together only.
+    """
+    terms = [t for t, _ in sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:PAIR_TERMS]]
+    place = {t: i for i, t in enumerate(terms)}
+    x = np.zeros((len(sets), len(terms)), np.float32)
+    for row, s in enumerate(sets):
+        x[row, [place[t] for t in s.tolist() if t in place]] = 1
+    y = labels.astype(np.float32)
+    n11, t11 = (x.T @ x).astype(np.float64), (x.T @ (x * y[:, None])).astype(np.float64)
+    n1, t1, n, t = np.diag(n11).copy(), np.diag(t11).copy(), float(len(y)), float(y.sum())
+    cells = [
+        (n11, t11), (n1[:, None] - n11, t1[:, None] - t11), (n1[None, :] - n11, t1[None, :] - t11),
+        (n - n1[:, None] - n1[None, :] + n11, t - t1[:, None] - t1[None, :] + t11),
+    ]
+    contrast, variance, enough = np.zeros_like(n11), np.zeros_like(n11), np.ones_like(n11, bool)
+    for sign, (size, hits) in zip((1, -1, -1, 1), cells, strict=True):
+        share = (hits + 0.5) / (size + 1)
+        contrast += sign * share
+        variance += share * (1 - share) / np.maximum(size, 1)
+        enough &= size >= 5
+    z = np.where(enough, np.abs(contrast) / np.sqrt(variance + 1e-12), 0)
+    first, second = np.nonzero(np.triu(z >= LEAST_PAIR_Z, 1))
+    best = sorted(zip(-z[first, second], first.tolist(), second.tolist(), strict=True))[:MAX_PAIRS]
+    return [(terms[i], terms[j]) for _, i, j in best]
+
+
 def fit(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """Fit a machine on sets of hashed terms; equal sets with one label count once.
 
@@ -122,6 +157,8 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
         if abs(z) >= LEAST_Z:
             scored.append((-abs(z), term))
     chosen = [t for _, t in sorted(scored)[:MAX_TERMS]]
+    pairs = _telling_pairs(sets, labels, both[True] + both[False])
+    chosen += sorted({t for pair in pairs for t in pair} - set(chosen))
     if not chosen:
         return none
     index = {t: i for i, t in enumerate(chosen)}

@@ -76,3 +76,26 @@ def test_odd_rows(spark, frame):
     assert len(rows) == 5 and all(0 <= r.score <= 1 and r.predicted == 0 for r in rows)
     assert toxicity.score_documents(docs.limit(0), machine).collect() == []
     assert [r.held_out for r in rows if r.doc_id is None] == [True]
+
+
+def test_a_pair_of_neutral_terms_is_learned():
+    """The label is "exactly one of two terms": neither says anything alone."""
+    rng = np.random.default_rng(3)
+    noise = [toxicity.hashed(f"w{i}") for i in range(60)]
+    a, b = toxicity.hashed("alpha"), toxicity.hashed("beta")
+
+    def draw(n):
+        sets, labels = [], []
+        for _ in range(n):
+            has = rng.random(2) < 0.5
+            words = {*rng.choice(noise, 12).tolist(), *[t for t, h in zip((a, b), has, strict=True) if h]}
+            sets.append(np.array(sorted(words), np.int64))
+            labels.append(int(has[0] != has[1]))
+        return sets, np.array(labels)
+
+    machine = toxicity.fit(*draw(4000))
+    assert {a, b} <= set(machine.index) and len(machine.index) < 12
+    sets, labels = draw(500)
+    names = {a: "alpha", b: "beta", **{h: f"w{i}" for i, h in enumerate(noise)}}
+    scores = machine.score([" ".join(names[t] for t in s.tolist()) for s in sets])
+    assert ((scores >= 0.5) == labels).mean() > 0.99
