@@ -106,3 +106,31 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
 WHERE rank <= 50
 """
+
+# Every pair that shares a shingle is counted, and components are what the links reach.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id),
+link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+step AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reached AS (
+  SELECT a AS doc_id, b AS other FROM step
+  UNION SELECT r.doc_id, s.b FROM reached r JOIN step s ON s.a = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(first, doc_id)) AS component_id,
+  doc_id <= coalesce(first, doc_id) AS kept
+FROM documents
+  LEFT JOIN size USING (doc_id)
+  LEFT JOIN (SELECT doc_id, min(other) AS first FROM reached GROUP BY doc_id) USING (doc_id)
+"""

@@ -124,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Statements for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op8_minhash_dedup": statements.NEAR_DUPLICATES,
     "op12_conversation_repair": statements.CONVERSATION_REPAIR,
     "op13_ranked_search": statements.RANKED_SEARCH,
 }
