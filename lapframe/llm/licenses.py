@@ -1,9 +1,10 @@
-"""License scans: notices by TF-IDF cosine to templates, then inheritance from the nearest directory.
+"""License scans: headers and license files by TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-Whole texts are cut into sentences; those with a cue word are compared with every template. Weights
-of template terms come from all such sentences of the corpus; any other term weighs as if nothing
-else had it, so text around a notice lowers its cosine. Templates are a fixed, small table, the only
-one that is broadcast.
+A file with a cue word gives passages: its sentences with a cue, blocks of lines around each line with
+one (so wrapped headers are met whole), and the whole file. Each is compared with every template:
+sentences as they are used in notices, the usual headers, short license texts and SPDX lines. Weights
+of template terms come from the files with a cue; any other term weighs as if no file had it, so text
+around a notice lowers its cosine. Templates are a fixed, small table, the only one that is broadcast.
 """
 
 from __future__ import annotations
@@ -17,20 +18,90 @@ from pyspark.sql import functions as F
 
 from lapframe.llm.common import stored
 
-# Usual notices of public licenses, one sentence each.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "CC-BY-4.0": "Licensed under CC BY 4.0, the Creative Commons Attribution 4.0 International License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright, CC0 1.0 public domain dedication",
-    "GPL": "This work is licensed under the GNU General Public License",
-    "LGPL": "Licensed under the GNU Lesser General Public License",
-    "MIT": "Released under the MIT License",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "Proprietary": "Copyright, all rights reserved",
+# Usual notices, headers and short texts of public licenses, and their SPDX lines.
+TEMPLATES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License.""",
+        "SPDX-License-Identifier: Apache-2.0",
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY
+        THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+        THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ),
+    "CC-BY-4.0": ("Licensed under CC BY 4.0, the Creative Commons Attribution 4.0 International License", "SPDX-License-Identifier: CC-BY-4.0"),
+    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright, CC0 1.0 public domain dedication",
+        """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this
+        work. This work is published from""",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "GPL": (
+        "This work is licensed under the GNU General Public License",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program. If not, see
+        https://www.gnu.org/licenses/.""",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "ISC": (
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies.""",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "LGPL": (
+        "Licensed under the GNU Lesser General Public License",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)
+        any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+        even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public
+        License for more details.""",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
+    "MIT": (
+        "Released under the MIT License",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+        this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        "SPDX-License-Identifier: MIT",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+        "SPDX-License-Identifier: MPL-2.0",
+    ),
+    "Proprietary": ("Copyright, all rights reserved",),
 }
-CUE = r"(?i)licen[sc]e|copyright|redistribut|rights reserved|public domain"
+# Only files with such a word are compared, and only around it; every template has one.
+CUE = r"(?i)licen[sc]e|copyright|redistribut|rights reserved|public domain|permission"
+# Lines before and after a line with a cue that make up a block.
+AROUND = (2, 6, 12)
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 SENTENCE = r"(?<=[.!?;])[\x20\x09-\x0D]+|\n"
 # Least cosine of a notice, and least share of a text that makes the file its directory's license.
@@ -43,42 +114,65 @@ def _terms(text: str) -> list[str]:
     return re.findall(TERM, text.lower())
 
 
-def passages(files: DataFrame) -> DataFrame:
-    """``path, at, passage, share``: sentences with a cue word, and their share of the text's characters."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = F.filter(F.split(text, SENTENCE), lambda s: s.rlike(CUE))
-    some = files.filter(text.rlike(CUE)).select("path", F.char_length(text).alias("size"), F.posexplode(found).alias("at", "passage"))
-    # a repeated row adds nothing
-    return some.select("path", "at", "passage", (F.char_length("passage") / F.col("size")).alias("share")).distinct()
+_PASSAGE = ["path", "doc", "kind", "at"]
+
 
+def passages(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Terms (``path, doc, kind, at, term, tf``) and shares (``path, doc, kind, at, share``) of all passages; stored.
 
-def cosines(cut: DataFrame) -> DataFrame:
-    """``path, at, share, license, cosine`` of each passage with each template that shares a term."""
-    spark = cut.sparkSession
+    ``doc`` tells the texts of one path apart; repeated rows add nothing. ``kind`` is 0 for a sentence, the
+    lines around for a block, -1 for the whole file. Texts are cut into lines first, and blocks are put
+    together from lines by a join, so no row is larger than a line.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    some = files.filter(text.rlike(CUE)).select("path", text.alias("text"), F.xxhash64(text).alias("doc"), F.char_length(text).alias("size"))
+    some = stored(some.dropDuplicates(["path", "doc"]), "license-files")
+    lines = stored(some.select("path", "doc", "size", F.posexplode(F.split("text", "\n")).alias("line", "words")), "license-lines")
+    sentences = some.select("path", "doc", "size", F.posexplode(F.filter(F.split("text", SENTENCE), lambda s: s.rlike(CUE))).alias("at", "words"))
+    cues = lines.filter(F.col("words").rlike(CUE)).select("path", "doc", F.col("line").alias("at"))
+    wanted = cues.select("path", "doc", "at", F.explode(F.lit(list(AROUND))).alias("kind")).select(
+        "path", "doc", "kind", "at", F.explode(F.sequence(F.col("at") - F.col("kind"), F.col("at") + F.col("kind"))).alias("line")
+    )
+    parts = (
+        wanted.join(lines, ["path", "doc", "line"]).select(*_PASSAGE, "size", "words")
+        .unionByName(sentences.withColumn("kind", F.lit(0)))
+        .unionByName(lines.select("path", "doc", F.lit(-1).alias("kind"), F.lit(0).alias("at"), "size", "words"))
+    )
+    parts = stored(parts, "license-passages")
     terms = stored(
-        cut.select("path", "at", "share", F.xxhash64("passage").alias("hash"), F.explode(F.regexp_extract_all(F.lower("passage"), F.lit(TERM), F.lit(0))).alias("term"))
-        .groupBy("path", "at", "share", "hash", "term")
-        .agg(F.count(F.lit(1)).alias("tf")),
+        parts.select(*_PASSAGE, F.explode(F.regexp_extract_all(F.lower("words"), F.lit(TERM), F.lit(0))).alias("term"))
+        .groupBy(*_PASSAGE, "term").agg(F.count(F.lit(1)).alias("tf")),
         "license-terms",
     )
-    vocabulary = sorted({t for text in TEMPLATES.values() for t in _terms(text)})
-    n = cut.count()
+    shares = parts.groupBy(*_PASSAGE).agg((F.sum(F.char_length("words")) / F.first("size")).alias("share"))
+    return terms, stored(shares, "license-shares")
+
+
+def cosines(terms: DataFrame) -> DataFrame:
+    """``path, doc, kind, at, license, cosine`` of each passage with the best template of each license that
+    shares a term with it."""
+    spark = terms.sparkSession
+    texts = [(name, i, text) for name, variants in TEMPLATES.items() for i, text in enumerate(variants)]
+    vocabulary = sorted({t for _, _, text in texts for t in _terms(text)})
+    whole = terms.filter("kind = -1")
+    n = whole.select("path", "doc").distinct().count()
     # at most one row per template term
-    found = terms.filter(F.col("term").isin(vocabulary)).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = whole.filter(F.col("term").isin(vocabulary)).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
     df = {r.term: r.n for r in found}
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
     other = math.log(1 + n) + 1
     rows = []
-    for name, text in TEMPLATES.items():
+    for name, variant, text in texts:
         weights = {t: k * idf[t] for t, k in Counter(_terms(text)).items()}
         norm = math.sqrt(sum(w * w for w in weights.values()))
-        rows += [(name, t, w / norm) for t, w in weights.items()]
-    unit = F.broadcast(spark.createDataFrame(rows, "license string, term string, unit double"))  # fixed table
+        rows += [(name, variant, t, w / norm) for t, w in weights.items()]
+    unit = F.broadcast(spark.createDataFrame(rows, "license string, variant int, term string, unit double"))  # fixed table
     known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))  # fixed table
     weighed = terms.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    norms = weighed.groupBy("path", "at", "share", "hash").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(unit, "term").groupBy("path", "at", "share", "hash", "license").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    return dots.join(norms, ["path", "at", "share", "hash"]).select("path", "at", "share", "license", (F.col("dot") / F.col("norm")).alias("cosine"))
+    norms = weighed.groupBy(*_PASSAGE).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = weighed.join(unit, "term").groupBy(*_PASSAGE, "license", "variant").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
+    best = dots.groupBy(*_PASSAGE, "license").agg(F.max("dot").alias("dot"))
+    return best.join(norms, _PASSAGE).select(*_PASSAGE, "license", (F.col("dot") / F.col("norm")).alias("cosine"))
 
 
 def own_licenses(files: DataFrame) -> DataFrame:
@@ -86,9 +180,10 @@ def own_licenses(files: DataFrame) -> DataFrame:
 
     ``is_file``: the file's name or the notice's share of its text makes it a license file.
     """
-    cut = stored(passages(files), "license-passages")
+    terms, shares = passages(files)
     best = F.max(F.struct(F.round("cosine", 9).alias("cosine"), "share", (-F.col("at")).alias("early"), "license"))
-    top = cosines(cut).filter(F.col("cosine") >= LEAST_COSINE).groupBy("path").agg(best.alias("top"))
+    near = cosines(terms).filter(F.col("cosine") >= LEAST_COSINE).join(shares, _PASSAGE)
+    top = near.groupBy("path").agg(best.alias("top"))
     return top.select(
         "path", F.col("top.license").alias("license"), F.col("top.cosine").alias("cosine"),
         ((F.col("top.share") >= FILE_SHARE) | F.col("path").rlike(FILE_NAME)).alias("is_file"),

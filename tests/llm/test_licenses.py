@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -14,22 +15,31 @@ SF = "/root/testdata/sf0.01"
 def plain(rows):
     """Path to (own license, cosine, license, directory), by loops."""
     cue = re.compile(licenses.CUE)
-    cut = []
-    for path, text in dict.fromkeys(rows):
-        for at, s in enumerate(re.split(licenses.SENTENCE, text or "")):
-            if cue.search(s):
-                cut.append((path, at, s, len(s) / len(text)))
-    templates = {k: Counter(licenses._terms(t)) for k, t in licenses.TEMPLATES.items()}
-    vocabulary = set().union(*templates.values())
-    df = Counter(t for c in cut for t in set(licenses._terms(c[2])))
-    weight = lambda t: math.log((1 + len(cut)) / (1 + (df[t] if t in vocabulary else 0))) + 1
+    cut, files = [], [(p, t or "") for p, t in dict.fromkeys(rows) if cue.search(t or "")]
+    for path, text in dict.fromkeys(files):
+        found = [s for s in re.split(licenses.SENTENCE, text) if cue.search(s)]
+        cut += [(path, at, s, len(s) / len(text)) for at, s in enumerate(found)]
+        lines = text.split("\n")
+        for at, line in enumerate(lines):
+            if cue.search(line):
+                for r in licenses.AROUND:
+                    block = lines[max(0, at - r) : at + r + 1]
+                    cut.append((path, at, "\n".join(block), sum(map(len, block)) / len(text)))
+        cut.append((path, 0, text, sum(map(len, lines)) / len(text)))
+    templates = [(k, Counter(licenses._terms(t))) for k, ts in licenses.TEMPLATES.items() for t in ts]
+    vocabulary = set().union(*(w for _, w in templates))
+    df = Counter(t for _, text in dict.fromkeys(files) for t in set(licenses._terms(text)))
+    weight = {t: math.log((1 + len(set(files))) / (1 + (df[t] if t in vocabulary else 0))) + 1 for t in {*df, *vocabulary}}
+    units = []
+    for name, words in templates:
+        u = {t: k * weight[t] for t, k in words.items()}
+        units.append((name, u, math.sqrt(sum(x * x for x in u.values()))))
     own = {}
     for path, at, s, share in cut:
-        v = {t: k * weight(t) for t, k in Counter(licenses._terms(s)).items()}
-        for name, words in templates.items():
-            u = {t: k * weight(t) for t, k in words.items()}
-            dot = sum(v[t] * u[t] for t in v.keys() & u.keys())
-            c = dot / math.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in u.values()) or 1)
+        v = {t: k * weight[t] for t, k in Counter(licenses._terms(s)).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        for name, u, norm in units:
+            c = sum(v[t] * u[t] for t in v.keys() & u.keys()) / (size * norm or 1)
             if c >= licenses.LEAST_COSINE:
                 own[path] = max(own.get(path, (0,)), (round(c, 9), share, -at, name))
     dirs = {}
@@ -93,3 +103,27 @@ def test_query_takes_documents_without_an_id_or_with_odd_sources(spark, tmp_path
     got = op2_license_scan(spark, str(tmp_path))
     assert sorted(((r.doc_id, r.path) for r in got.collect()), key=repr) == [
         (7, "a_b/0/0/7"), (8, "none/0/0/8"), (None, "a_b/none/none/none")]
+
+
+HEADERS = {
+    "MIT": licenses.TEMPLATES["MIT"][1],
+    "MPL-2.0": licenses.TEMPLATES["MPL-2.0"][1],
+    "GPL": licenses.TEMPLATES["GPL"][1].replace("version 3", "version 2"),
+    "BSD-3-Clause": licenses.TEMPLATES["BSD-3-Clause"][1],
+    "Apache-2.0": licenses.TEMPLATES["Apache-2.0"][1],
+}
+
+
+def test_headers_are_found_however_they_are_wrapped(spark, frame):
+    code = "\n".join(f"value_{i} = compute(argument_{i}, other_{i})" for i in range(80))
+    rows, want = [], {}
+    for name, text in HEADERS.items():
+        flat = " ".join(text.split())
+        for width in (40, 72, 5000):
+            body = "\n".join("# " + x for x in textwrap.wrap(flat, width))
+            rows += [(f"{name}/{width}/header.py", f"# Copyright 2024 Some Author\n{body}\n\n{code}"), (f"{name}/{width}/f/LICENSE", flat), (f"{name}/{width}/f/sub/x.py", code)]
+            want |= {f"{name}/{width}/header.py": name, f"{name}/{width}/f/LICENSE": name, f"{name}/{width}/f/sub/x.py": name}
+    rows += [("spdx/a.c", "// SPDX-License-Identifier: MIT\n" + code), ("spdx/b.c", "/* SPDX-License-Identifier: GPL-3.0-or-later */\n" + code), ("plain/p.py", code)]
+    want |= {"spdx/a.c": "MIT", "spdx/b.c": "GPL", "plain/p.py": None}
+    got = {r.path: r.license for r in licenses.scan(frame(rows, "path string, text string")).collect()}
+    assert got == want
