@@ -189,6 +189,22 @@ def leaderboard(
     return out.orderBy("rank", "session_key", "driver_number") if ordered else out
 
 
+def driver_results(
+    final_positions: DataFrame, drivers: DataFrame, pit_stops: DataFrame, session_names: DataFrame
+) -> DataFrame:
+    """The columns of :func:`leaderboard` that team standings need, without ranks, gaps and laps.
+
+    Its left joins add no rows, but a sum above them keeps the optimizer from leaving them out.
+    """
+    return (
+        final_positions.select(*K2, "position")
+        .join(drivers.select(*K2, "team_name"), K2)
+        .join(pit_stops, K2, "left")
+        .join(session_names.select("session_key"), "session_key")
+        .select(*K2, "team_name", "pit_stop_count", points_for("position").alias("points"))
+    )
+
+
 def session_driver_count(position: DataFrame) -> DataFrame:
     # two aggregates instead of a distinct count, so a large session is spread by driver first
     return position.select(*K2).distinct().groupBy("session_key").agg(

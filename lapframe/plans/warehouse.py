@@ -145,7 +145,8 @@ class Warehouse:
 
     @cached_property
     def team_standings(self) -> DataFrame:
-        return marts.team_standings(self.leaderboard)
+        results = marts.driver_results(self.final_positions, self.stg_drivers, self.pit_stops, self.session_name_mapping)
+        return marts.team_standings(results)
 
     @cached_property
     def driver_stats(self) -> DataFrame:
