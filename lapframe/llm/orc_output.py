@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,20 @@ ORC_OPTIONS = {
 _SCHEMA = "part int, doc_id {kind}, start_in_part bigint, n_tokens int, ids array<int>"
 
 
+class _Known(dict):
+    """Words with their ids; one that is not there is found by ``find`` and kept if it is short."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        super().__init__({"": b""})
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.find(word)
+        if len(word) <= LONG_WORD:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Encodes texts word by word.
 
@@ -54,7 +69,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.merges = self.tokenizer.model
-        self.young: dict[str, bytes] = {"": b""}
+        self.young = _Known(self._found)
         self.old: dict[str, bytes] = {}
         self.letters: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
@@ -66,45 +81,37 @@ class WordEncoder:
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.int32).tobytes()
 
-    def _ids(self, words: list[str]) -> list[bytes]:
+    def _found(self, word: str) -> bytes:
         """Latin letters with marks behind them, nearly all words, go to the library's merge model in two
         parts; normal form, splitting and all other words are left to the whole tokenizer."""
-        out = []
+        known = self.old.get(word)
+        if known is not None:
+            return known
+        core = word.rstrip(MARKS)
+        tail = word[len(core) :]
+        plain = core.isascii()
+        if not core.isalpha() or not (plain or max(core) < chr(LATIN)) or (not plain and "İ" in core):
+            return self._whole(word)
+        core = core.lower() if plain else "".join(map(str.lower, core))
+        ids = self.letters.get(core)
+        if ids is None:
+            text = core if plain else "".join(map(self.written.__getitem__, core.encode("utf-8")))
+            ids = self.letters[core] = array("i", [t.id for t in self.merges.tokenize(text)]).tobytes()
+        end = self.marks.get(tail)
+        if end is None:
+            end = self.marks[tail] = self._whole(tail)
+        return ids + end
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        if len(self.young) > CACHE_WORDS:
+            self.old, self.young = dict(self.young), _Known(self._found)
         if len(self.letters) > CACHE_WORDS:
             self.letters.clear()
         if len(self.marks) > CACHE_WORDS:
             self.marks = {"": b""}
-        for word in words:
-            core = word.rstrip(MARKS)
-            if not core.isalpha() or not (core.isascii() or max(core) < chr(LATIN)) or "İ" in core:
-                out.append(self._whole(word))
-                continue
-            core, tail = "".join(map(str.lower, core)), word[len(core) :]
-            ids = self.letters.get(core)
-            if ids is None:
-                text = core if core.isascii() else "".join(map(self.written.__getitem__, core.encode("utf-8")))
-                ids = np.array([t.id for t in self.merges.tokenize(text)], np.int32).tobytes()
-                self.letters[core] = ids
-            if tail not in self.marks:
-                self.marks[tail] = self._whole(tail)
-            out.append(ids + self.marks[tail])
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        missing = [w for w in words if w not in self.young]
-        if len(self.young) + len(missing) > CACHE_WORDS:
-            self.old, self.young, missing = self.young, {}, list(words)
-        self.young.update((w, self.old[w]) for w in missing if w in self.old)
-        missing = [w for w in missing if w not in self.old]
-        found = dict(zip(missing, self._ids(missing), strict=True))
-        self.young.update((w, ids) for w, ids in found.items() if len(w) <= LONG_WORD)
-        long = {w: ids for w, ids in found.items() if len(w) > LONG_WORD}
-        young = self.young
-        get = (lambda w: young[w] if w in young else long[w]) if long else young.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        ids_of = self.young.__getitem__
+        return [b"".join(map(ids_of, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
