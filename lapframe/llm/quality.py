@@ -21,9 +21,13 @@ from lapframe.llm.common import BLANKS, forget, stored
 from lapframe.llm.pii import let
 
 FEATURES = ("words", "mean_length", "symbol_share", "dup_line_share", "repeat_share", "distinct_share", "upper_share", "mark_share")
-QUANTILES = (0.01, 0.02, *(i / 20 for i in range(1, 20)), 0.98, 0.99)
+# Thresholds: quantiles with fine tails, and those of the rejected documents alone, for rare kinds of junk.
+QUANTILES = (0.001, 0.002, 0.005, 0.01, 0.02, *(i / 20 for i in range(1, 20)), 0.98, 0.99, 0.995, 0.998, 0.999)
+BAD_QUANTILES = (0.05, 0.2, 0.5, 0.8, 0.95)
 MAX_RULES = 8
 MAX_LITERALS = 4
+# Rules that may fail on the held part before the search ends; each bars its first literal.
+MAX_FAILURES = 6
 # A rule needs this share of rejected documents on the pruning part, and so many of them.
 PRECISION = 0.85
 SUPPORT = 5
@@ -159,8 +163,10 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
         "quality-labelled",
     )
     values = [F.col("x")[i] for i in range(len(FEATURES))]
-    edges_row = table.agg(*[F.percentile_approx(v, list(QUANTILES), 2000).alias(f"e{i}") for i, v in enumerate(values)]).first()
-    edges = [sorted(set(edges_row[f"e{i}"] or [])) for i in range(len(FEATURES))]
+    cuts = [F.percentile_approx(v, list(QUANTILES), 10_000).alias(f"e{i}") for i, v in enumerate(values)]
+    cuts += [F.percentile_approx(F.when(F.col("bad") == 1, v), list(BAD_QUANTILES), 2000).alias(f"b{i}") for i, v in enumerate(values)]
+    edges_row = table.agg(*cuts).first()
+    edges = [sorted({*(edges_row[f"e{i}"] or []), *(edges_row[f"b{i}"] or [])}) for i in range(len(FEATURES))]
 
     def bins() -> Column:
         # bin k: above k edges
@@ -183,10 +189,11 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
 
     rules: list[Rule] = []
     rest = table
-    while len(rules) < MAX_RULES:
+    barred: set[tuple[int, int, bool]] = set()
+    while len(rules) < MAX_RULES and len(barred) < MAX_FAILURES:
         rule: list[Literal] = []
         on_held: list[tuple[float, float]] = []
-        rows = rest
+        rows, first = rest, None
         while len(rule) < MAX_LITERALS:
             found = counts(rows)
             p0, n0 = side(found[0, False], -1, True)
@@ -196,12 +203,15 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
             for f in range(len(FEATURES)):
                 for k, edge in enumerate(edges[f]):
                     for above in (False, True):
+                        if not rule and (f, k, above) in barred:
+                            continue
                         p, n = side(found[f, False], k, above)
                         if p >= SUPPORT and (g := _gain(p, n, p0, n0)) > gain:
                             best, gain = (Literal(f, above, float(edge)), k), g
             if best is None:
                 break
             literal, k = best
+            first = first or (literal.feature, k, literal.above)
             rule.append(literal)
             on_held.append(side(found[literal.feature, True], k, literal.above))
             rows = rows.filter(literal.column(values))
@@ -212,7 +222,8 @@ def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
         keep = worth.index(max(worth)) + 1
         p, n = on_held[keep - 1]
         if p < SUPPORT / 2 or p < PRECISION * (p + n):
-            break
+            barred.add(first)  # the next best first literal may still do
+            continue
         rules.append(tuple(rule[:keep]))
         rest = rest.filter(~_holds(rules[-1], values))
     forget(table)

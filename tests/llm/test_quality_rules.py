@@ -92,3 +92,18 @@ def test_separators_that_are_no_blanks_end_a_text(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.n_words, r.word_chars) for r in quality.statistics(df).collect()}
     assert got == {0: (3, 3), 1: (2, 2), 2: (2, 2), 3: (1, 2), 4: (1, 1), 5: (0, 0)}
+
+
+def test_rare_junk_is_cut_off(spark):
+    """Three in a thousand documents are full of symbols; the other half of the rejected has no sign at all."""
+    rng = random.Random(9)
+
+    def text(i):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(80)]
+        return " ".join(w + "###" if i % 333 == 0 else w for w in words)
+
+    rows = [(i, text(i), int(i % 333 != 0 and i % 331 != 1)) for i in range(6_000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2], 0) for r in rows], "doc_id long, quality int, toxic int")
+    gone = {r.doc_id for r in quality.assess(docs, labels).filter("NOT kept").collect()}
+    assert gone == {i for i in range(6_000) if i % 333 == 0}
