@@ -85,7 +85,8 @@ def load_table(
 
     Sessions that the table already holds from other loads are skipped (``skip_existing``). Nothing is
     merged unless all checks pass on the staged rows. Any failure becomes the report's ``error`` of the
-    sessions that were not there before, and leaves the table as it was.
+    sessions that were not there before. Up to the last step it leaves the table as it was; one while
+    partitions are being replaced is mended by the same ``load_id``.
     """
     path, staging = f"{base}/{table}", f"{base}/_staging/{table}-{uuid.uuid4().hex}"
     requested = sessions.select("meeting_key", "session_key").distinct()
