@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lapframe.llm.common import id_and_text, text_chunks
 
 # Encoded words kept per Python worker, in each of two generations.
-CACHE_WORDS = 3 << 17
+CACHE_WORDS = 5 << 17
 # A longer word is encoded without being kept.
 LONG_WORD = 64
 # Trailing marks that are tokens of their own: no apostrophe, and nothing of a special token's name.
