@@ -225,7 +225,7 @@ def _in_order() -> list[Column]:
 def report(turns: DataFrame) -> DataFrame:
     """``conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256`` per conversation.
 
-    Takes ``conv_id, turn, role, text``; rows of a conversation are ordered by turn (NULLs first), then
+    Takes ``conv_id, turn, role, text``, turn of an integer type; rows of a conversation are ordered by turn (NULLs first), then
     role and text. Where a column ``present`` is false the row only announces its conversation. Other
     columns are not read. NULL roles and texts are one space; the NULL conv_id is a conversation of its
     own; an empty role has no initial and is never kept. Repeated rows are duplicates. A conversation without rows gives zeros, an

@@ -369,7 +369,7 @@ def search(index: Index, queries: Queries, k: int = TOP_K, kind: str = "bigint")
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFrame:
     """``item_id, rank, doc_id, score``: for each item its ``k`` best documents with a score above 0.
 
-    ``items`` has ``item_id, text``; equal rows are one item, and an id with several texts has a ranking
+    ``doc_id`` is of an integer type. ``items`` has ``item_id, text``; equal rows are one item, and an id with several texts has a ranking
     for each. NULL texts have no terms, so such items have no rows and such documents no rank. Equal
     scores are ordered by doc_id, NULL last; repeated document rows are ranked one by one. Only these columns
     are read. Empty tables give an empty result.
