@@ -4,19 +4,23 @@ A file with a cue word gives passages: its sentences with a cue, blocks of lines
 one (so wrapped headers are met whole), and the whole file. Each is compared with every template:
 sentences as they are used in notices, the usual headers, short license texts and SPDX lines. Weights
 of template terms come from the files with a cue; any other term weighs as if no file had it, so text
-around a notice lowers its cosine. Templates are a fixed, small table, the only one that is broadcast.
+around a notice lowers its cosine. Templates are a fixed, small table that every task has; a file is compared
+where it is read, so no terms are shuffled.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapframe.llm.common import stored
+from lapframe.llm.common import stored, text_chunks
 
 # Usual notices, headers and short texts of public licenses, and their SPDX lines.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -110,69 +114,81 @@ FILE_SHARE = 0.5
 FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying|unlicense)[^/]*$"
 
 
+_CUE, _SENTENCE = re.compile(CUE), re.compile(SENTENCE)
+
+
 def _terms(text: str) -> list[str]:
     return re.findall(TERM, text.lower())
 
 
-_PASSAGE = ["path", "doc", "kind", "at"]
+@dataclass(frozen=True)
+class Weights:
+    """Weights of template terms and of any other, and the templates as unit vectors by term."""
 
+    idf: dict[str, float]
+    other: float
+    units: dict[str, list[tuple[str, int, float]]]
 
-def passages(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Terms (``path, doc, kind, at, term, tf``) and shares (``path, doc, kind, at, share``) of all passages; stored.
+    def best(self, counts: Counter[str]) -> list[tuple[str, float]]:
+        """Each license near enough to a passage with its cosine: that of the best of its templates."""
+        norm, dots = 0.0, Counter()
+        for term, k in counts.items():
+            weight = k * self.idf.get(term, self.other)
+            norm += weight * weight
+            for name, variant, unit in self.units.get(term, ()):
+                dots[name, variant] += weight * unit
+        top: dict[str, float] = {}
+        for (name, _), dot in dots.items():
+            top[name] = max(top.get(name, 0.0), dot / math.sqrt(norm))
+        return [(name, cosine) for name, cosine in top.items() if cosine >= LEAST_COSINE]
 
-    ``doc`` tells the texts of one path apart; repeated rows add nothing. ``kind`` is 0 for a sentence, the
-    lines around for a block, -1 for the whole file. Texts are cut into lines first, and blocks are put
-    together from lines by a join, so no row is larger than a line.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    some = files.filter(text.rlike(CUE)).select("path", text.alias("text"), F.xxhash64(text).alias("doc"), F.char_length(text).alias("size"))
-    some = stored(some.dropDuplicates(["path", "doc"]), "license-files")
-    lines = stored(some.select("path", "doc", "size", F.posexplode(F.split("text", "\n")).alias("line", "words")), "license-lines")
-    sentences = some.select("path", "doc", "size", F.posexplode(F.filter(F.split("text", SENTENCE), lambda s: s.rlike(CUE))).alias("at", "words"))
-    cues = lines.filter(F.col("words").rlike(CUE)).select("path", "doc", F.col("line").alias("at"))
-    wanted = cues.select("path", "doc", "at", F.explode(F.lit(list(AROUND))).alias("kind")).select(
-        "path", "doc", "kind", "at", F.explode(F.sequence(F.col("at") - F.col("kind"), F.col("at") + F.col("kind"))).alias("line")
-    )
-    parts = (
-        wanted.join(lines, ["path", "doc", "line"]).select(*_PASSAGE, "size", "words")
-        .unionByName(sentences.withColumn("kind", F.lit(0)))
-        .unionByName(lines.select("path", "doc", F.lit(-1).alias("kind"), F.lit(0).alias("at"), "size", "words"))
-    )
-    parts = stored(parts, "license-passages")
-    terms = stored(
-        parts.select(*_PASSAGE, F.explode(F.regexp_extract_all(F.lower("words"), F.lit(TERM), F.lit(0))).alias("term"))
-        .groupBy(*_PASSAGE, "term").agg(F.count(F.lit(1)).alias("tf")),
-        "license-terms",
-    )
-    shares = parts.groupBy(*_PASSAGE).agg((F.sum(F.char_length("words")) / F.first("size")).alias("share"))
-    return terms, stored(shares, "license-shares")
-
-
-def cosines(terms: DataFrame) -> DataFrame:
-    """``path, doc, kind, at, license, cosine`` of each passage with the best template of each license that
-    shares a term with it."""
-    spark = terms.sparkSession
-    texts = [(name, i, text) for name, variants in TEMPLATES.items() for i, text in enumerate(variants)]
-    vocabulary = sorted({t for _, _, text in texts for t in _terms(text)})
-    whole = terms.filter("kind = -1")
-    n = whole.select("path", "doc").distinct().count()
-    # at most one row per template term
-    found = whole.filter(F.col("term").isin(vocabulary)).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
-    df = {r.term: r.n for r in found}
+
+def corpus_weights(files: DataFrame) -> Weights:
+    """Weights from the numbers of files with a cue that have each template term: one grouped count."""
+    texts = [(name, i, Counter(_terms(text))) for name, variants in TEMPLATES.items() for i, text in enumerate(variants)]
+    vocabulary = sorted({t for _, _, words in texts for t in words})
+    found = F.array_intersect(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)), F.lit(vocabulary))
+    # one row for all files and at most one per template term
+    counted = files.select(F.explode(F.concat(found, F.array(F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()
+    df = {r.term: r.n for r in counted}
+    n = df.get("", 0)
     idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in vocabulary}
-    other = math.log(1 + n) + 1
-    rows = []
-    for name, variant, text in texts:
-        weights = {t: k * idf[t] for t, k in Counter(_terms(text)).items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        rows += [(name, variant, t, w / norm) for t, w in weights.items()]
-    unit = F.broadcast(spark.createDataFrame(rows, "license string, variant int, term string, unit double"))  # fixed table
-    known = F.broadcast(spark.createDataFrame(sorted(idf.items()), "term string, idf double"))  # fixed table
-    weighed = terms.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    norms = weighed.groupBy(*_PASSAGE).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(unit, "term").groupBy(*_PASSAGE, "license", "variant").agg(F.sum(F.col("w") * F.col("unit")).alias("dot"))
-    best = dots.groupBy(*_PASSAGE, "license").agg(F.max("dot").alias("dot"))
-    return best.join(norms, _PASSAGE).select(*_PASSAGE, "license", (F.col("dot") / F.col("norm")).alias("cosine"))
+    units: dict[str, list[tuple[str, int, float]]] = defaultdict(list)
+    for name, variant, words in texts:
+        norm = math.sqrt(sum((k * idf[t]) ** 2 for t, k in words.items()))
+        for t, k in words.items():
+            units[t].append((name, variant, k * idf[t] / norm))
+    return Weights(idf, math.log(1 + n) + 1, dict(units))
+
+
+def notices(text: str, weights: Weights) -> list[tuple[float, float, int, str]]:
+    """``cosine, share, -at, license`` of every passage that is near a template.
+
+    Passages are sentences with a cue, the lines around each line with one, and the whole text. Terms
+    are counted once per line; a block adds the counts of its few lines.
+    """
+    out = []
+
+    def judge(counts: Counter[str], chars: int, at: int) -> None:
+        out.extend((round(cosine, 9), chars / len(text), -at, name) for name, cosine in weights.best(counts))
+
+    for at, sentence in enumerate(x for x in _SENTENCE.split(text) if _CUE.search(x)):
+        judge(Counter(_terms(sentence)), len(sentence), at)
+    lines = text.split("\n")
+    counts = [Counter(_terms(line)) for line in lines]
+    for at, line in enumerate(lines):
+        if _CUE.search(line):
+            for around in AROUND:
+                low, high = max(0, at - around), at + around + 1
+                block: Counter[str] = Counter()
+                for part in counts[low:high]:
+                    block.update(part)
+                judge(block, sum(map(len, lines[low:high])), at)
+    whole: Counter[str] = Counter()
+    for part in counts:
+        whole.update(part)
+    judge(whole, sum(map(len, lines)), 0)
+    return out
 
 
 def own_licenses(files: DataFrame) -> DataFrame:
@@ -180,10 +196,24 @@ def own_licenses(files: DataFrame) -> DataFrame:
 
     ``is_file``: the file's name or the notice's share of its text makes it a license file.
     """
-    terms, shares = passages(files)
-    best = F.max(F.struct(F.round("cosine", 9).alias("cosine"), "share", (-F.col("at")).alias("early"), "license"))
-    near = cosines(terms).filter(F.col("cosine") >= LEAST_COSINE).join(shares, _PASSAGE)
-    top = near.groupBy("path").agg(best.alias("top"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    some = files.filter(text.rlike(CUE)).select("path", text.alias("text"))
+    # repeated rows are one file; a path's different texts are several
+    weights = corpus_weights(some.dropDuplicates(["path", "text"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_chunks(batches):
+            best = [max(notices(x, weights), default=None) for x in texts]
+            at = [i for i, b in enumerate(best) if b is not None]
+            columns = list(zip(*(best[i] for i in at), strict=True)) or [[]] * 4
+            kinds = (pa.float64(), pa.float64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                ["path", "cosine", "share", "early", "license"],
+            )
+
+    found = some.mapInArrow(run, "path string, cosine double, share double, early bigint, license string")
+    top = found.groupBy("path").agg(F.max(F.struct("cosine", "share", "early", "license")).alias("top"))
     return top.select(
         "path", F.col("top.license").alias("license"), F.col("top.cosine").alias("cosine"),
         ((F.col("top.share") >= FILE_SHARE) | F.col("path").rlike(FILE_NAME)).alias("is_file"),
