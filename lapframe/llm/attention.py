@@ -8,6 +8,7 @@ each token is scored once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,34 +47,45 @@ class Vocabulary:
         return CLASSES + 1
 
 
-# Subwords, by frequency, that are clustered by their neighbours; the others form the last class.
-CLUSTERED = 6_000
-
-
-def clusters(counts: np.ndarray, sequence: np.ndarray, rounds: int = 15, seed: int = 0) -> np.ndarray:
-    """Class per subword id: the most frequent alone, others by k-means over which frequent subwords
-    stand before and after them in ``sequence``, weighted by frequency."""
+def by_frequency(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids from the most frequent on, and the place of each id in that order."""
     order = np.lexsort((np.arange(len(counts)), -counts))
     rank = np.empty(len(counts), np.int64)
     rank[order] = np.arange(len(counts))
+    return order, rank
+
+
+# Neighbours told apart: each of the frequent subwords, and all others as one.
+NEAR = SINGLE + 1
+
+
+def neighbours(rank: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """One number per subword and neighbour in its sequence, those before first: ``(id * 2 + side) * NEAR + neighbour``."""
+    near = np.minimum(rank[tokens], SINGLE)
+    inner = np.ones(max(0, len(tokens) - 1), bool)
+    inner[np.cumsum(lengths[:-1]) - 1] = False
+    ids = tokens.astype(np.int64)
+    yield (ids[1:] * 2 * NEAR + near[:-1])[inner]
+    yield ((ids[:-1] * 2 + 1) * NEAR + near[1:])[inner]
+
+
+def clusters(counts: np.ndarray, seen: np.ndarray, rounds: int = 15, seed: int = 0) -> np.ndarray:
+    """Class per subword id: the most frequent alone, others that occur by k-means over which frequent
+    subwords stand before and after them (``seen``, ids x 2 NEAR), weighted by frequency. The last class
+    is that of subwords that do not occur."""
+    order, _ = by_frequency(counts)
     of_class = np.full(len(counts), CLASSES - 1, np.int32)
     of_class[order[:SINGLE]] = np.arange(min(SINGLE, len(counts)))
-    many = min(CLUSTERED, len(counts)) - SINGLE
-    if many <= SHARED or len(sequence) < 2:
+    many = int((counts > 0).sum()) - SINGLE
+    if many <= SHARED or not seen.any():
         rest = order[SINGLE:]
         of_class[rest] = SINGLE + np.arange(len(rest)) % SHARED
         return of_class
-    near = np.minimum(rank[sequence], SINGLE)
-    sides = []
-    for own, other in ((sequence[1:], near[:-1]), (sequence[:-1], near[1:])):
-        row = rank[own] - SINGLE
-        real = (row >= 0) & (row < many)
-        sides.append(np.bincount(row[real] * (SINGLE + 1) + other[real], minlength=many * (SINGLE + 1)).reshape(many, -1))
-    seen = np.concatenate(sides, axis=1).astype(np.float64)
-    weight = seen.sum(1) + 0.01
-    x = np.sqrt(seen / weight[:, None])
-    x -= np.average(x, axis=0, weights=weight)
-    _, directions = np.linalg.eigh((x * weight[:, None]).T @ x)
+    x = seen[order[SINGLE : SINGLE + many]].astype(np.float32)
+    weight = x.sum(1, dtype=np.float64) + 0.01
+    x = np.sqrt(x / weight[:, None].astype(np.float32))
+    x -= np.average(x, axis=0, weights=weight).astype(np.float32)
+    _, directions = np.linalg.eigh(((x * weight[:, None].astype(np.float32)).T @ x).astype(np.float64))
     x = x @ directions[:, -12:]
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(many, SHARED - 1, replace=False, p=weight / weight.sum())]
@@ -87,13 +99,20 @@ def clusters(counts: np.ndarray, sequence: np.ndarray, rounds: int = 15, seed: i
     return of_class
 
 
-def vocabulary(counts: np.ndarray, sequence: np.ndarray, smoothing: float = 0.1) -> Vocabulary:
+def classed(counts: np.ndarray, seen: np.ndarray, smoothing: float = 0.1) -> Vocabulary:
     """Classes from ``clusters``; the shares of a class from the corpus ``counts``."""
-    of_class = clusters(counts, sequence)
+    of_class = clusters(counts, seen)
     total = np.bincount(of_class, counts + smoothing, CLASSES)
     return Vocabulary(of_class, np.log10((counts + smoothing) / total[of_class]))
 
 
+def vocabulary(counts: np.ndarray, sequence: np.ndarray, smoothing: float = 0.1) -> Vocabulary:
+    """The same with the neighbours counted in one sequence."""
+    _, rank = by_frequency(counts)
+    found = np.concatenate([*neighbours(rank, sequence, np.array([len(sequence)]))])
+    return classed(counts, np.bincount(found, minlength=len(counts) * 2 * NEAR).reshape(len(counts), -1), smoothing)
+
+
 def windows(tokens: np.ndarray, lengths: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs (n, SPAN), target classes (n, AHEAD; -1: none) and each window's sequence.
 
@@ -138,26 +157,6 @@ class Model:
         self.down = normal(HIDDEN, WIDTH) * np.float32(0.5)
         self.out, self.out_bias = normal(WIDTH, CLASSES), np.zeros(CLASSES, np.float32)
 
-    def _forward(self, given: np.ndarray, pad: int) -> dict[str, np.ndarray]:
-        x = self.embed[given] + self.place
-        q = x[:, BACK:] @ self.query
-        k, v = x @ self.key, x @ self.value
-        scores = q @ k.transpose(0, 2, 1)
-        scores *= np.float32(1 / np.sqrt(WIDTH))
-        scores += _MASK
-        if pad >= 0:
-            scores += np.where(given == pad, np.float32(-1e9), np.float32(0))[:, None, :]
-        scores -= scores.max(2, keepdims=True)
-        a = np.exp(scores, out=scores)
-        a /= a.sum(2, keepdims=True)
-        c = a @ v
-        h = x[:, BACK:] + c @ self.mix
-        u = np.maximum(h @ self.up + self.up_bias, 0)
-        z = h + u @ self.down
-        logits = z.reshape(-1, WIDTH) @ self.out
-        logits += self.out_bias
-        return {"x": x, "q": q, "k": k, "v": v, "a": a, "c": c, "h": h, "u": u, "z": z, "logits": logits}
-
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Embedding, query, key and value by place and input id, side by side.
 
@@ -201,58 +200,111 @@ class Model:
 
     def gradients(self, given: np.ndarray, wanted: np.ndarray, pad: int) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the wanted classes, and its gradient by parameter."""
-        s = self._forward(given, pad)
-        flat = wanted.ravel()
-        real = flat >= 0
-        n = max(1, int(real.sum()))
-        logits = s["logits"] - s["logits"].max(1, keepdims=True)
-        p = np.exp(logits)
+        kind = self.embed.dtype.type
+        size, scale = len(given), kind(1 / np.sqrt(WIDTH))
+        x = self.embed[given]
+        x += self.place
+        sides, ahead = x.reshape(-1, WIDTH), x[:, BACK:].reshape(-1, WIDTH)
+        q = ((ahead @ self.query) * scale).reshape(size, AHEAD, WIDTH)
+        kv = (sides @ np.concatenate([self.key, self.value], 1)).reshape(size, SPAN, 2 * WIDTH)
+        k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
+        a = q @ k.transpose(0, 2, 1)
+        a += np.where(given == pad, kind(-1e9), kind(0))[:, None, :] + _MASK
+        a -= a.max(2, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(2, keepdims=True)
+        c = (a @ v).reshape(-1, WIDTH)
+        h = ahead + c @ self.mix
+        u = np.maximum(h @ self.up + self.up_bias, 0)
+        z = h + u @ self.down
+        p = z @ self.out
+        p += self.out_bias
+        p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(1, keepdims=True)
-        at = np.flatnonzero(real)
+        flat = wanted.ravel()
+        at = np.flatnonzero(flat >= 0)
+        n = max(1, len(at))
         loss = float(-np.log(p[at, flat[at]] + 1e-30).sum() / n)
         d = p
         d[at, flat[at]] -= 1
-        d[~real] = 0
-        d /= n
-        z = s["z"].reshape(-1, WIDTH)
+        d *= ((flat >= 0) / n).astype(kind)[:, None]
         g = {"out": z.T @ d, "out_bias": d.sum(0)}
-        dz = (d @ self.out.T).reshape(s["z"].shape)
-        du = (dz @ self.down.T) * (s["u"] > 0)
-        g["down"] = np.einsum("bth,btw->hw", s["u"], dz)
-        g["up"] = np.einsum("btw,bth->wh", s["h"], du)
-        g["up_bias"] = du.sum((0, 1))
+        dz = d @ self.out.T
+        du = dz @ self.down.T
+        du *= u > 0
+        g["down"], g["up"], g["up_bias"] = u.T @ dz, h.T @ du, du.sum(0)
         dh = dz + du @ self.up.T
-        g["mix"] = np.einsum("btw,btx->wx", s["c"], dh)
-        dc = dh @ self.mix.T
-        da = dc @ s["v"].transpose(0, 2, 1)
-        dv = s["a"].transpose(0, 2, 1) @ dc
-        ds = s["a"] * (da - (da * s["a"]).sum(2, keepdims=True)) / np.sqrt(WIDTH, dtype=np.float32)
-        dq, dk = ds @ s["k"], ds.transpose(0, 2, 1) @ s["q"]
-        g["query"] = np.einsum("btw,btx->wx", s["x"][:, BACK:], dq)
-        g["key"] = np.einsum("btw,btx->wx", s["x"], dk)
-        g["value"] = np.einsum("btw,btx->wx", s["x"], dv)
-        dx = dk @ self.key.T + dv @ self.value.T
-        dx[:, BACK:] += dh + dq @ self.query.T
+        g["mix"] = c.T @ dh
+        dc = (dh @ self.mix.T).reshape(size, AHEAD, WIDTH)
+        ds = dc @ v.transpose(0, 2, 1)
+        ds -= (ds * a).sum(2, keepdims=True)
+        ds *= a
+        dkv = np.empty_like(kv)
+        np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dc, out=dkv[:, :, WIDTH:])
+        dkv = dkv.reshape(-1, 2 * WIDTH)
+        dq = (ds @ k).reshape(-1, WIDTH) * scale
+        g["query"] = ahead.T @ dq
+        g["key"], g["value"] = np.split(sides.T @ dkv, 2, axis=1)
+        dx = (dkv @ np.concatenate([self.key.T, self.value.T])).reshape(size, SPAN, WIDTH)
+        dx[:, BACK:] += (dh + dq @ self.query.T).reshape(size, AHEAD, WIDTH)
         g["place"] = dx.sum(0)
-        flat_dx, ids = dx.reshape(-1, WIDTH), given.ravel()
-        g["embed"] = np.stack([np.bincount(ids, flat_dx[:, i], len(self.embed)) for i in range(WIDTH)], 1)
+        # the rows of each input id, one after the other
+        order = np.argsort(given, axis=None, kind="stable")
+        ids = given.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        g["embed"] = np.zeros_like(self.embed)
+        g["embed"][ids[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, 0)
         return loss, g
 
+    def flat(self) -> np.ndarray:
+        """All parameters as one vector."""
+        return np.concatenate([getattr(self, k).ravel() for k in self.NAMES])
+
+    @classmethod
+    def unflat(cls, values: np.ndarray) -> Model:
+        """The model of such a vector."""
+        model, at = cls(), 0
+        for k in cls.NAMES:
+            old = getattr(model, k)
+            setattr(model, k, values[at : at + old.size].reshape(old.shape).astype(np.float32))
+            at += old.size
+        return model
+
+
+class Adam:
+    """Adam steps on a model's parameters."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.steps = model, 0
+        self.first = {k: np.zeros_like(getattr(model, k)) for k in Model.NAMES}
+        self.second = {k: np.zeros_like(getattr(model, k)) for k in Model.NAMES}
+
+    def step(self, given: np.ndarray, wanted: np.ndarray, pad: int, rate: float) -> None:
+        self.steps += 1
+        _, grads = self.model.gradients(given, wanted, pad)
+        for k, g in grads.items():
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g
+            self.second[k] = 0.99 * self.second[k] + 0.01 * g * g
+            change = rate * (self.first[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[k] / (1 - 0.99**self.steps)) + 1e-8)
+            setattr(self.model, k, (getattr(self.model, k) - change).astype(np.float32))
+
 
 def train(given: np.ndarray, wanted: np.ndarray, pad: int, steps: int = 600, batch: int = 256, seed: int = 5) -> Model:
     """Adam over random batches of windows, with a falling rate. Without windows the model is as it began."""
     model, rng = Model(), np.random.default_rng(seed)
     if not len(given):
         return model
-    first = {k: np.zeros_like(getattr(model, k)) for k in Model.NAMES}
-    second = {k: np.zeros_like(getattr(model, k)) for k in Model.NAMES}
+    adam = Adam(model)
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(given), min(batch, len(given)))
-        _, grads = model.gradients(given[pick], wanted[pick], pad)
-        rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, g in grads.items():
-            first[k] = 0.9 * first[k] + 0.1 * g
-            second[k] = 0.99 * second[k] + 0.01 * g * g
-            change = rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-            setattr(model, k, (getattr(model, k) - change).astype(np.float32))
+        adam.step(given[pick], wanted[pick], pad, 0.01 * min(1.0, 2 * (1 - step / (steps + 1))))
     return model
+
+
+def train_on(adam: Adam, given: np.ndarray, wanted: np.ndarray, pad: int, batch: int = 128) -> None:
+    """One pass over all the windows, in an order that their number fixes; the rate falls with the steps made."""
+    order = np.random.default_rng(len(given)).permutation(len(given))
+    for pick in np.array_split(order, -(-len(given) // batch)):
+        adam.step(given[pick], wanted[pick], pad, 0.004 / np.sqrt(1 + adam.steps / 100))

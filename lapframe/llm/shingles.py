@@ -41,6 +41,18 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same in blocks of about ``BLOCK``, whatever the length of the data."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
+        a, b = starts[i], ends[j - 1]
+        out[i:j] = hash_spans(data[a:b], starts[i:j] - a, ends[i:j] - a)
+        i = j
+    return out
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of consecutive texts, and the number of words in each.
 
@@ -59,15 +71,8 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     first[limits] = inside[limits]
     last[limits[1:] - 1] = inside[limits[1:] - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
-        a, b = starts[i], ends[j - 1]
-        out[i:j] = hash_spans(data[a:b], starts[i:j] - a, ends[i:j] - a)
-        i = j
     counts = np.diff(np.searchsorted(starts, bounds))
-    return out, counts
+    return span_hashes(data, starts, ends), counts
 
 
 def lowered_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lapframe.llm import attention, lm
 from lapframe.llm.common import read_table
@@ -138,3 +139,33 @@ def test_odd_rows(spark, frame):
     twice = lm.score(docs.union(docs), RANKS, head_words=1).collect()
     assert len(twice) == 12
     assert lm.score(docs.limit(0), RANKS).collect() == []
+
+
+def test_every_training_document_teaches_the_model(spark, frame):
+    keys = [k for k in range(60) if not held(k)]
+    docs = frame([(k, f"word{k % 7} and text{k % 5} of row{k} again") for k in keys], "doc_id bigint, text string")
+    ids, starts = lm.encoded(docs, RANKS), lm._word_starts(RANKS)
+    corpus = lm.count_corpus(ids, starts)
+    voc = lm.learn_classes(ids, corpus)
+    whole = lm.train(ids, corpus, voc, start_docs=2, group_tokens=200).flat()
+    first = {r.doc_id for r in ids.orderBy(F.xxhash64("doc_id")).limit(2).collect()}
+    for gone in [k for k in keys if k not in first][:2]:  # not among the texts that training starts from
+        less = lm.train(ids.filter(F.col("doc_id") != gone), corpus, voc, start_docs=2, group_tokens=200).flat()
+        assert np.abs(whole - less).max() > 1e-5
+
+
+def test_classes_follow_the_neighbours_in_all_training_documents(spark, monkeypatch):
+    docs = read_table(spark, SF, "documents").limit(60)
+    ids, starts = lm.encoded(docs, RANKS), lm._word_starts(RANKS)
+    corpus, given = lm.count_corpus(ids, starts), []
+    monkeypatch.setattr(attention, "classed", lambda counts, seen, smoothing: given.append(seen))
+    lm.learn_classes(ids, corpus)
+    texts = [r.ids for r in ids.collect() if not held(r.doc_id)]
+    assert Counter(i for x in texts for i in x) == Counter({i: int(n) for i, n in enumerate(corpus.subwords) if n})
+    near = {int(i): place for place, i in enumerate(attention.by_frequency(corpus.subwords)[0][: attention.SINGLE])}
+    want = np.zeros_like(given[0])
+    for x in texts:
+        for a, b in zip(x[:-1], x[1:], strict=True):
+            want[b, near.get(a, attention.SINGLE)] += 1
+            want[a, attention.NEAR + near.get(b, attention.SINGLE)] += 1
+    assert (given[0] == want).all()
