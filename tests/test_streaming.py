@@ -178,3 +178,22 @@ def test_text_stream_source(spark, tmp_path):
     stream = streaming.decode_envelope(streaming.read_stream(spark, str(tmp_path / "in")), "position")
     streaming.start_sink(stream, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "o")), "id", "position") == [("z", 4)]
+
+
+def test_a_micro_batch_of_the_queries_has_as_many_files_as_it_takes(spark, tmp_path, monkeypatch):
+    from lapframe.workloads import catalog
+
+    monkeypatch.setattr(catalog, "FILE_ROWS", 10)
+    feed, out, mark = (str(tmp_path / name) for name in ("feed", "out", "mark"))
+    rows = [spark.range(30 * i, 30 * i + 30, numPartitions=1) for i in range(2)]
+
+    def start():
+        stream = spark.readStream.schema("id bigint").parquet(feed)
+        return stream.writeStream.option("checkpointLocation", mark).trigger(availableNow=True).foreachBatch(
+            lambda batch, n: batch.write.parquet(f"{out}/batch_id={n}")
+        ).start()
+
+    catalog._in_turn(feed, "parquet", rows, start)
+    assert len(list((tmp_path / "feed").glob("*.parquet"))) == 6
+    got = spark.read.parquet(out).groupBy("batch_id").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 30), (1, 30)]
