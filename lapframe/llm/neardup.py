@@ -13,8 +13,10 @@ be the shingles of x that the hub lacks. If N(x) and N(y) share nothing, the com
 inside that of x and the hub, and inside that of y and the hub; as the hub is no larger than x or y, each
 of them is then at least as much like the hub as like the other. So two nodes that are alike are both
 linked with the hub, or both have shingles that the hub lacks, and these
-name the next, smaller buckets. They must share so many that a prefix of each N(x), in hash order, is
-enough to meet in, and that a pair can be dropped by where in the order it first meets.
+name the next, smaller buckets. They must share so many that a prefix of each N(x) is enough to meet in,
+and that a pair can be dropped by where in the order it first meets. The order is by rarity among the
+nodes of one hub: texts that have a passage in common and nothing else post what they have alone.
+The smaller of two nodes meets the other in a shorter prefix yet, so a bucket needs such a row to count.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapframe.llm.common import checked_broadcast, forget, id_and_text, stored
@@ -212,9 +214,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFram
 def _compared_with_hubs(stars: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """``a, b, linked, common, lack, lacking`` of hub ``a`` and node ``b``; stored.
 
-    ``common`` shingles are in both, ``lack`` of b are not in a, and ``lacking`` is a prefix of these by
-    hash. A partner of b shares percent of b's shingles at least, so all but ``common`` of them
-    from here; two sets that share k of their elements meet in their prefixes without the last k - 1.
+    ``common`` shingles are in both; ``lack`` of b, which ``lacking`` holds, are not in a.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +227,7 @@ def _compared_with_hubs(stars: DataFrame, docs: DataFrame, settings: Settings) -
                 linked.append(_alike(hub, own, shared, settings.percent))
                 common.append(shared)
                 lack.append(len(rest))
-                wanted = -(-settings.percent * len(own) // 100) - shared
-                lacking.append(rest[: len(rest) - max(wanted, 1) + 1].astype(np.int64))
+                lacking.append(rest.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:2],
@@ -246,6 +245,30 @@ def _compared_with_hubs(stars: DataFrame, docs: DataFrame, settings: Settings) -
     return compared
 
 
+def _prefixes(lacking: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``scope, a, b, n, common, lack, shingle`` in which partners can meet first, as ``key, node, n,
+    common, lack, pos, index``; stored.
+
+    A node's shingles are ordered by how many nodes of the scope and hub have them, the rarest first; those
+    that no other has take places and are left out. A partner of b shares percent of b's shingles at least, so
+    all but ``common`` of them from here; two sets that share k of their elements meet in their
+    prefixes without the last k - 1. A partner that is no smaller shares more: ``index`` marks the shorter prefix for it.
+    """
+    percent = settings.percent
+    keyed = lacking.withColumn("key", F.xxhash64("scope", "a", "shingle")).drop("shingle")
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("having")).filter("having > 1")
+    left = F.row_number().over(Window.partitionBy("scope", "a", "b").orderBy(F.desc("having"), F.desc("key")))
+    rows = keyed.join(counts, "key").withColumn("left", left)
+    least = f"greatest(1, ceil({percent} * n / 100) - common)"
+    least_of_larger = f"greatest(1, ceil({2 * percent} * n / {100 + percent}) - common)"
+    return stored(
+        rows.filter(f"left >= {least}").selectExpr(
+            "key", "b AS node", "n", "common", "lack", "CAST(lack - left AS int) AS pos", f"left >= {least_of_larger} AS index"
+        ),
+        "neardup-prefixes",
+    )
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """``node, root`` from ``node, parent`` with parent < node, by doubling the step until all end."""
     current = stored(parents.select("node", F.col("parent").alias("root")), "neardup-roots")
@@ -312,9 +335,10 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _of_several_groups(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``buckets``, with ``root``, whose keys have nodes of more than one group."""
+    """The rows of ``buckets``, with ``root``, whose keys have nodes of more than one group and an ``index`` row."""
     grouped = buckets.join(roots, "node", "left").select(*buckets.columns, F.coalesce("root", "node").alias("root"))
-    mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    spread = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("index").alias("index"))
+    mixed = spread.filter("low < high AND index").select("key")
     return grouped.join(mixed, "key")
 
 
@@ -375,17 +399,19 @@ def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
     # then the groups of a bucket against each other
     # nothing is known yet about a node's shingles: none is lacking, none has been passed
-    plain = buckets.select("key", "node", "n", F.col("n").alias("common"), F.col("n").alias("lack"), F.lit(0).alias("pos"))
+    plain = buckets.select("key", "node", "n", F.col("n").alias("common"), F.col("n").alias("lack"), F.lit(0).alias("pos"), F.lit(True).alias("index"))
     level = stored(_of_several_groups(plain, roots), "neardup-level")
     forget(buckets)
     first = True
     enough = f"{100 + percent} * (least(common, common_a) + least(lack - pos, lack_a - pos_a)) >= {percent} * (n + m)"
     while not level.isEmpty():
         most = PAIRED if first else FINE_PAIRED
-        sized = level.join(level.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
-        few, many = sized.filter(F.col("size") <= most), stored(sized.filter(F.col("size") > most), "neardup-many")
-        left = few.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"), *[F.col(c).alias(f"{c}_a") for c in ("common", "lack", "pos")])
-        crossing = few.join(left, "key").filter(f"a < node AND root <> other AND {long_enough} AND {enough}").select("a", F.col("node").alias("b"))
+        # of a pair the smaller node has an index row: as many pairs as the bucket has rows, times these
+        sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.count_if("index").alias("smaller"))
+        sized = level.join(sizes, "key")
+        few, many = sized.filter(F.col("smaller") <= most), stored(sized.filter(F.col("smaller") > most), "neardup-many")
+        left = few.filter("index").select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"), *[F.col(c).alias(f"{c}_a") for c in ("common", "lack", "pos")])
+        crossing = few.join(left, "key").filter(f"(m < n OR m = n AND a < node) AND root <> other AND {long_enough} AND {enough}").select("a", F.col("node").alias("b"))
         likely = stored(_likely(crossing.distinct(), nodes, settings).select("a", "b"), "neardup-likely")
         links = _verified(likely, docs, settings)
         forget(likely)
@@ -400,12 +426,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         compared = _compared_with_hubs(stored(members.select("a", "b").distinct(), "neardup-stars"), docs, settings)
         links = links.union(compared.filter("linked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         roots = _merged(roots, links)
-        lacking = compared.select("a", "b", "common", "lack", F.posexplode("lacking").alias("pos", "shingle"))
-        finer = members.join(lacking, ["a", "b"]).select(
-            F.xxhash64("scope", "a", "shingle").alias("key"), F.col("b").alias("node"), "n", "common", "lack", "pos"
-        )
+        lacking = compared.select("a", "b", "common", "lack", F.explode("lacking").alias("shingle"))
+        finer = _prefixes(members.join(lacking, ["a", "b"]), settings)
         following = stored(_of_several_groups(finer, roots), "neardup-level")
-        for table in (level, many, hubs, members, compared):
+        for table in (level, many, hubs, members, compared, finer):
             forget(table)
         level, first = following, False
     named = (

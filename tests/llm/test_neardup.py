@@ -164,3 +164,21 @@ def test_components_of_a_path_and_a_star(spark):
     star = spark.range(1001, 1100).select(F.lit(1000).cast("bigint").alias("a"), F.col("id").alias("b"))
     found = {r.node: r.root for r in neardup.components(path.union(star)).collect()}
     assert found == {**{i: 1 for i in range(1, 201)}, **{i: 1000 for i in range(1000, 1100)}}
+
+
+def test_texts_with_shared_passages_post_what_they_have_alone(frame, monkeypatch):
+    """Two passages in every text, an own rest: no text meets another once it is compared with its hub."""
+    monkeypatch.setattr(neardup, "PAIRED", 3)
+    posted, real = [], neardup.stored
+
+    def counted(df, name, **options):
+        out = real(df, name, **options)
+        if name == "neardup-level":
+            posted.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    part = lambda name, n: [f"{name}{i}" for i in range(n)]
+    rows = [(i, " ".join(part("a", 96) + part("bc"[i % 2], 40) + part(f"own{i}_", 24))) for i in range(60)]
+    check(frame(rows, "doc_id bigint, text string"), rows)
+    assert posted[0] > 0 and sum(posted[1:]) == 0
