@@ -133,6 +133,38 @@ def test_throttle_over_kinds(spark, texts, tmp_path):
     assert counts == [("car", 4, 3), ("intervals", 1, 0), ("location", 1, 1), ("position", 2, 1)]
 
 
+def test_executors_hold_nothing_of_a_micro_batch(spark, texts, tmp_path, monkeypatch):
+    from lapframe.streaming import live
+
+    before, insert, held, plans = spark._jsc.getPersistentRDDs().size(), live.insert_batch, [], []
+
+    def watched(batch, *rest):
+        held.append(spark._jsc.getPersistentRDDs().size())
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return insert(batch, *rest)
+
+    monkeypatch.setattr(live, "insert_batch", watched)
+    lines = [message(KINDS[i % 4], i, i % 7) for i in range(20)] + ["{"]
+    for throttle, count in ((False, 20), (True, 7)):
+        base = str(tmp_path / f"o{throttle}")
+        streaming.write_live(texts([lines]), base, str(tmp_path / f"c{throttle}"), throttle=throttle, buckets=2).awaitTermination()
+        assert sum(streaming.read_live(spark, base, kind).count() for kind in KINDS) == count
+        assert rows(streaming.read_live_rejects(spark, base)) == [("{", "malformed JSON")]
+        assert not os.path.exists(f"{base}/_work/0")
+    assert len(plans) == 2 and max(held) <= before
+    for plan in plans:  # the typed fields as stored, the seconds of a throttle found once
+        assert "InMemoryTableScan" not in plan and "min_by" not in plan and "variant" not in plan, plan
+
+
+def test_a_batch_of_bad_messages_passes_the_throttle(spark, texts, tmp_path):
+    base = str(tmp_path / "o")
+    stream = texts([["{"], [message("car", 1, 1)], ['{"schema": 1}']])
+    streaming.write_live(stream, base, str(tmp_path / "c"), throttle=True, buckets=2).awaitTermination()
+    assert rows(streaming.read_live(spark, base, "car"), "id") == [("car1",)]
+    assert rows(streaming.read_live_rejects(spark, base), "reason") == [("malformed JSON",), ("no payload",)]
+    assert rows(streaming.load_metrics(spark, f"{base}/{METRICS}"), "kind", "records_processed", "records_inserted") == [("car", 1, 1)]
+
+
 def test_a_busy_key_is_reduced_before_it_is_shuffled(spark, tmp_path):
     batch = spark.range(200_000, numPartitions=4).select(F.lit(1).alias("k"), F.timestamp_seconds(F.col("id") % 10).alias("t"), "id")
     passed = pass_seconds(batch, throttle_state(str(tmp_path / "s"), "k", T.IntegerType(), buckets=2), 0, "k", "t", "id")
