@@ -109,6 +109,30 @@ def test_only_touched_buckets_are_read(spark, tmp_path):
     assert len(data) > column.total_compressed_size + 1000  # the filter lies between the columns and the footer
 
 
+def test_known_keys_are_not_broadcast(spark, tmp_path):
+    table = KeyTable(str(tmp_path / "k"), ("id",), T.StructType([T.StructField("id", T.LongType())]), buckets=2)
+    table.write(spark.range(1000), 0)
+    batch = spark.range(990, 1010)
+    fresh = table.absent(batch, 1, table.touched(batch))
+    assert rows(fresh) == [(i,) for i in range(1000, 1010)]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_files_of_kept_messages_are_small(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from lapframe.workloads import catalog
+
+    monkeypatch.setattr(catalog, "FILE_ROWS", 10)
+    monkeypatch.setattr(catalog, "scratch_dir", lambda _, name: str(tmp_path / name))
+    lines = [(message("car", i), 1) for i in range(25)]
+    messages = spark.createDataFrame(lines, "value string, session_key int").coalesce(1)
+    base = catalog._live(SimpleNamespace(spark=spark), messages, 1)
+    assert rows(streaming.read_live(spark, base, "car"), "id") == sorted((f"car{i}",) for i in range(25))
+    assert len(list((tmp_path / "live-kept").glob("*.parquet"))) == 3
+
+
 def test_newest_value_of_a_key(spark, frame, tmp_path):
     ddl = "k int, second long"
     table = KeyTable(str(tmp_path / "k"), ("k",), T.StructType.fromDDL(ddl), buckets=2, merge_every=2)
